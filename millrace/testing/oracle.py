@@ -35,7 +35,7 @@ def _types(table: pa.Table) -> dict[str, str]:
 def compare(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
     """Row counts, column types and value hashes of both sides, and the first rows that differ."""
     ours = df.toArrow()
-    theirs = con.execute(sql).fetch_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     a, b = _canonical(ours), _canonical(theirs)
     digest = [hashlib.sha256("\n".join(rows).encode()).hexdigest() for rows in (a, b)]
     sa, sb = set(a), set(b)
