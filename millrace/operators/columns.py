@@ -19,16 +19,21 @@ def rename_map(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def rename_from_mapping(df: DataFrame, mapping: DataFrame, table: str | None = None) -> DataFrame:
-    """Rename technical to business names through a table with ``tabla``, ``TEC`` and ``USUARIO``.
+def business_names(mapping: DataFrame, columns: Sequence[str], table: str | None = None) -> dict[str, str]:
+    """Business name of each technical column, from a table with ``tabla``, ``TEC`` and ``USUARIO``.
 
-    Reads only the mapping rows of columns that ``df`` has, so at most one row per column comes to the driver.
+    Reads only the mapping rows of the columns given, so at most one row per column comes to the driver.
     """
-    rows = mapping.filter(F.col("TEC").isin(df.columns))
+    rows = mapping.filter(F.col("TEC").isin(*columns))
     if table is not None:
         rows = rows.filter(F.col("tabla") == table)
     named = rows.groupBy("TEC").agg(F.min(normalise_name("USUARIO")).alias("name")).collect()
-    return df.withColumnsRenamed({r["TEC"]: r["name"] for r in named})
+    return {r["TEC"]: r["name"] for r in named}
+
+
+def rename_from_mapping(df: DataFrame, mapping: DataFrame, table: str | None = None) -> DataFrame:
+    """Rename technical to business names through a mapping table, all in one projection."""
+    return df.withColumnsRenamed(business_names(mapping, df.columns, table))
 
 
 def cast_columns(
