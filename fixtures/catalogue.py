@@ -63,7 +63,6 @@ def _master(spark, sf_dir):
 )
 def biz_article_catalogue(spark, sf_dir):
     p, lines = _master(spark, sf_dir)
-    one = F.lit(1).alias("loaded_at")
     material = p.select(
         _zeros("p_partkey").alias("material"), F.col("p_type").alias("material_type"), F.lit("ST").alias("unit"),
         F.col("p_brand").alias("material_group"), *[F.lit(0).alias(c) for c in ORDER],
@@ -159,7 +158,7 @@ def _prices(spark, sf_dir):
     channel = F.when(F.col("l_returnflag") == "A", "MI").when(F.col("l_returnflag") == "N", "ME").otherwise("MO")
     rows = lines.select(
         F.col("l_partkey").alias("material"), channel.alias("channel"), F.col("l_suppkey").cast("string").alias("customer"),
-        F.lit("ZPR0").alias("condition_class"), F.lit("V").alias("application"), F.xxhash64(number).cast("string").alias("h"),
+        F.lit("ZPR0").alias("condition_class"), F.lit("V").alias("application"),
         F.to_date("l_shipdate").alias("valid_from"), F.to_date("l_shipdate").alias("valid_to"), number.alias("raw_no"),
         F.col("l_extendedprice").alias("amount"), F.col("l_tax").alias("tax"),
     )

@@ -31,7 +31,9 @@ def refresh_silver(
     """
     if since is not None:
         mark = since - timedelta(hours=1)
-        df = df.filter((F.col("YEAR") >= mark.year) & (F.col("SEQ_DATE") >= F.lit(mark)))
+        # A day of slack for the year, which may have been taken in another time zone.
+        year = (mark - timedelta(days=1)).year
+        df = df.filter((F.col("YEAR") >= year) & (F.col("SEQ_DATE") >= F.lit(mark)))
     typed = cast_columns(df, spec.numeric, spec.dates)
     names = business_names(mapping, df.columns, spec.name)
     rows = typed.withColumnsRenamed(names)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +52,8 @@ def scan_json(
     reader = json_reader(spark.read, schema, multiline, primitives_as_string, quarantine)
     if modified_after is not None:
         # Whole seconds here prune the file listing; the exact mark is tested below on the file's own time.
-        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+        mark = modified_after.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+        reader = reader.option("modifiedAfter", mark).option("timeZone", "UTC")
     df = reader.json(path if isinstance(path, str) else list(path))
     if modified_after is not None:
         df = df.filter(F.col("_metadata.file_modification_time") > F.lit(modified_after))
