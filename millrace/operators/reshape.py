@@ -89,15 +89,18 @@ def month_ladder(
 ) -> DataFrame:
     """One row per key and one column per month of the horizon, labelled ``yyyy-MM`` plus suffix; 0 where missing.
 
-    Rows outside the horizon are filtered before the shuffle and months are summed before the pivot.
+    Rows outside the horizon are filtered before the shuffle. Rows are summed per key and month first, which spreads a
+    hot key over its months; only those few sums pass through the wide aggregate.
     """
     steps = months_from(start, months + 1)
     inside = df.filter((F.col(day) >= F.lit(steps[0])) & (F.col(day) < F.lit(steps[-1])))
-    aggs = []
-    for lo, hi in zip(steps, steps[1:]):
-        here = (F.col(day) >= F.lit(lo)) & (F.col(day) < F.lit(hi))
-        aggs.append(F.coalesce(F.sum(F.when(here, F.col(value))), F.lit(0)).alias(f"{lo:%Y-%m}{suffix}"))
-    return inside.groupBy(*keys).agg(*aggs)
+    month = F.trunc(F.col(day).cast("date"), "month")
+    sums = inside.groupBy(*keys, month.alias("_m")).agg(F.sum(value).alias("_v"))
+    cells = [
+        F.coalesce(F.sum(F.when(F.col("_m") == F.lit(m), F.col("_v"))), F.lit(0)).alias(f"{m:%Y-%m}{suffix}")
+        for m in steps[:-1]
+    ]
+    return sums.groupBy(*keys).agg(*cells)
 
 
 def with_amounts(

@@ -54,15 +54,14 @@ def snapshot_overall(df: DataFrame, ts: str, pick: str = "max") -> DataFrame:
 def snapshot_two_stage(df: DataFrame, ts: str, within: str = "month", pick: str = "min") -> DataFrame:
     """The first (or last) load of the newest period.
 
-    Choosing that load in every period and then the newest of those loads is the same as the first (last) load of
-    the newest period, so two one-row subqueries do it and only the rows kept are ever shuffled.
+    The first loads of the periods come in the order of the periods, so the one wanted is the greatest of them; the
+    last load of the newest period is the newest load of all. Either is a one-row subquery.
     """
-    start = F.date_trunc(within, F.col(ts).cast("timestamp_ntz"))
-    newest = F.date_trunc(within, F.max(ts).cast("timestamp_ntz"))
     if pick == "max":
         return snapshot_overall(df, ts, "max")
-    recent = df.filter(start == df.agg(newest).scalar())
-    return recent.filter(F.col(ts) == recent.agg(F.min(ts)).scalar())
+    start = F.date_trunc(within, F.col(ts).cast("timestamp_ntz"))
+    firsts = df.groupBy(start.alias("_p")).agg(F.min(ts).alias("_first"))
+    return df.filter(F.col(ts) == firsts.agg(F.max("_first")).scalar())
 
 
 def opening_snapshot(df: DataFrame, keys: Sequence[str], document_day: str, as_of, order_by: Sequence[Order]) -> DataFrame:

@@ -32,14 +32,16 @@ def _shift(
     cut = df.withColumn("_s", slice_by)
     parts = [*keys, "_s"]
     inside = Window.partitionBy(*parts).orderBy(*_order(order, reverse))
-    backwards = F.row_number().over(Window.partitionBy(*parts).orderBy(*_order(order, not reverse)))
     # The last n rows of each slice, in order, are all that later slices can need.
-    tails = (
-        cut.select(*parts, F.struct(F.col(value).alias("v")).alias("_t"), backwards.alias("_b"))
-        .filter(F.col("_b") <= n)
-        .groupBy(*parts)
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col("_b")).alias("p"), F.col("_t.v").alias("v")))).alias("_tail"))
-    )
+    if n == 1:
+        pick = F.min_by if reverse else F.max_by
+        tail = F.array(F.struct(pick(F.struct(F.col(value).alias("v")), F.struct(*order))["v"].alias("v")))
+        tails = cut.groupBy(*parts).agg(tail.alias("_tail"))
+    else:
+        backwards = F.row_number().over(Window.partitionBy(*parts).orderBy(*_order(order, not reverse)))
+        last = cut.select(*parts, F.col(value).alias("_v"), backwards.alias("_b")).filter(F.col("_b") <= n)
+        listed = F.array_sort(F.collect_list(F.struct((-F.col("_b")).alias("p"), F.col("_v").alias("v"))))
+        tails = last.groupBy(*parts).agg(F.transform(listed, lambda t: F.struct(t["v"].alias("v"))).alias("_tail"))
     slices = Window.partitionBy(*keys).orderBy(F.desc("_s") if reverse else F.asc("_s")).rowsBetween(-n, -1)
     carried = tails.select(*parts, F.flatten(F.collect_list("_tail").over(slices)).alias("_carry"))
     position = F.row_number().over(inside)

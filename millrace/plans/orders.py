@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import composite_key, key_timestamp, period, ratio, strip_zeros
+from millrace.operators.joins import match
 from millrace.operators.reshape import measure_reshape
 from millrace.operators.snapshots import snapshot_per_group
 
@@ -32,13 +33,17 @@ def order_status(
     rate (0 for the domestic channel). Backlog promised after the recorded day is 0; ordered and rejected measures
     count for order classes only.
 
-    The last day of each month is chosen before the sums, since all sums are per day: one aggregate over a thirtieth
-    of the rows instead of two over all of them.
+    The last day of each month is chosen before the sums, since all sums are per day. It is read off one aggregate by
+    day: a day counts if its newest load holds wanted rows. The facts themselves are then read once more, filtered to
+    one load per month.
     """
-    newest = snapshot_per_group(df, ["registered"], "loaded_at")
-    wanted = newest.filter((F.col("client") == client) & F.col("channel").isin(*channels))
-    dated = wanted.withColumn("month", period("registered"))
-    closing = snapshot_per_group(dated, ["month"], "registered")
+    wanted = (F.col("client") == client) & F.col("channel").isin(*channels)
+    days = df.groupBy("registered").agg(
+        F.max("loaded_at").alias("loaded_at"), F.max(F.when(wanted, F.col("loaded_at"))).alias("_wanted")
+    )
+    held = days.filter(F.col("loaded_at") == F.col("_wanted")).filter(F.col("registered").isNotNull())
+    last = held.groupBy(period("registered")).agg(F.max(F.struct("registered", "loaded_at")).alias("_l")).select("_l.*")
+    closing = match(df.filter(wanted), last, ["registered", "loaded_at"], "left_semi").withColumn("month", period("registered"))
 
     due = ~F.coalesce(F.col("promised") > F.col("registered"), F.lit(False))
     is_order = F.coalesce(F.col("order_class").isin(*order_classes), F.lit(False))
