@@ -89,18 +89,15 @@ def month_ladder(
 ) -> DataFrame:
     """One row per key and one column per month of the horizon, labelled ``yyyy-MM`` plus suffix; 0 where missing.
 
-    Rows outside the horizon are filtered before the shuffle. Rows are summed per key and month first, which spreads a
-    hot key over its months; only those few sums pass through the wide aggregate.
+    Rows outside the horizon are filtered before the shuffle. A pivot over known values sums per key and month first,
+    which spreads a hot key over its months; only those few sums are spread over the columns.
     """
     steps = months_from(start, months + 1)
     inside = df.filter((F.col(day) >= F.lit(steps[0])) & (F.col(day) < F.lit(steps[-1])))
-    month = F.trunc(F.col(day).cast("date"), "month")
-    sums = inside.groupBy(*keys, month.alias("_m")).agg(F.sum(value).alias("_v"))
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("_m") == F.lit(m), F.col("_v"))), F.lit(0)).alias(f"{m:%Y-%m}{suffix}")
-        for m in steps[:-1]
-    ]
-    return sums.groupBy(*keys).agg(*cells)
+    labels = [f"{m:%Y-%m}" for m in steps[:-1]]
+    month = F.date_format(F.col(day).cast("date"), "yyyy-MM")
+    wide = inside.withColumn("_m", month).groupBy(*keys).pivot("_m", labels).agg(F.sum(value))
+    return wide.na.fill(0, labels).withColumnsRenamed({m: f"{m}{suffix}" for m in labels})
 
 
 def with_amounts(
