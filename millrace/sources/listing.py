@@ -27,6 +27,8 @@ class Folder(InputPartition):
 def _entries(root: str, path: str | None, recursive: bool):
     from pyarrow import fs
 
+    if root.startswith("file:/") and not root.startswith("file://"):
+        root = root[len("file:"):]
     system, base = fs.FileSystem.from_uri(root)
     return system.get_file_info(fs.FileSelector(base if path is None else path, recursive=recursive))
 
