@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import ratio
-from millrace.operators.joins import match
+from millrace.operators.joins import SALTS, match
 from millrace.operators.snapshots import Order, latest_by_key
 
 
@@ -90,7 +90,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     zone = F.when(F.col("_v") < F.col("_b")[0], -1).when(F.col("_v") > F.col("_b")[1], 1).otherwise(0)
     # Equal values are folded before the join back, so a hot group shrinks to its distinct values on the map side.
     values = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    zoned = match(values, brackets, keys, "inner").withColumn("_z", zone)
+    zoned = match(values, brackets, keys, "inner", SALTS).withColumn("_z", zone).drop("_b")
     counts = zoned.groupBy(*keys).agg(
         F.sum(F.when(F.col("_z") < 0, F.col("_n")).otherwise(0)).alias("_low"),
         F.sum(F.when(F.col("_z") <= 0, F.col("_n")).otherwise(0)).alias("_mid"),
@@ -102,7 +102,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     below = F.when(F.col("_z") < 0, F.lit(0)).when(F.col("_z") == 0, F.col("_low")).otherwise(F.col("_mid"))
     upto = F.when(F.col("_z") < 0, F.col("_low")).when(F.col("_z") == 0, F.col("_mid"))
     kept = (
-        match(zoned, wanted, keys, "inner")
+        match(zoned, wanted, keys, "inner", SALTS)
         .withColumns({"_below": below, "_upto": upto})
         .filter((F.col("_r2") > F.col("_below")) & (F.col("_upto").isNull() | (F.col("_r1") <= F.col("_upto"))))
     )
@@ -128,11 +128,11 @@ def spread_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def with_group_stat(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Aggregates of the key's group beside every detail row.
 
-    The group is aggregated and joined back instead of read through a window, which would hold it in one task.
+    The group is aggregated and joined back, salted, instead of read through a window, which would hold it in one task.
     """
-    return match(df, df.groupBy(*keys).agg(*aggs), keys)
+    return match(df, df.groupBy(*keys).agg(*aggs), keys, salts=SALTS)
 
 
 def with_group_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Median of the key's group beside every detail row."""
-    return match(df, exact_median(df, keys, value, name), keys)
+    return match(df, exact_median(df, keys, value, name), keys, salts=SALTS)

@@ -1,5 +1,6 @@
 """Join shapes. No hint forces a broadcast here: Spark broadcasts a side only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, splitting skewed partitions."""
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges. Joins that bring one row per key back to a
+table whose keys may be very uneven are salted."""
 
 from __future__ import annotations
 
@@ -10,13 +11,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi-join on equal names in which null keys match each other; the right side's keys are dropped."""
+# Parts into which the rows of one key are cut where a key may hold a large share of a table.
+SALTS = 8
+
+
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 1) -> DataFrame:
+    """Equi-join on equal names in which null keys match each other; the right side's keys are dropped.
+
+    With ``salts`` over 1 the rows of a key are spread over that many join partitions, by a hash of the row so that a
+    repeated task spreads them alike, and the right side is repeated for each. It is meant for a right side with one
+    short row per key. Not for right or full joins, which would repeat unmatched rows.
+    """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    if salts > 1:
+        if how not in ("inner", "left", "left_semi", "left_anti"):
+            raise ValueError(f"a {how} join cannot be salted")
+        hashable = [c for c, kind in left.dtypes if "map<" not in kind]
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
+        renamed = renamed.withColumn("_r__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys = [*keys, "_salt"]
     cond = F.lit(True)
     for k in keys:
         cond = cond & left[k].eqNullSafe(renamed[f"_r_{k}"])
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, cond, how).drop("_salt", *[f"_r_{k}" for k in keys])
 
 
 def left_join_all(spine: DataFrame, parts: Iterable[tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -34,8 +34,8 @@ def order_status(
     count for order classes only.
 
     The last day of each month is chosen before the sums, since all sums are per day. It is read off one aggregate by
-    day: a day counts if its newest load holds wanted rows. The facts themselves are then read once more, filtered to
-    one load per month.
+    day: a day counts if its newest load holds wanted rows. That leaves one row per calendar month, which is broadcast;
+    the facts are then read once more, filtered to those loads.
     """
     wanted = (F.col("client") == client) & F.col("channel").isin(*channels)
     days = df.groupBy("registered").agg(
@@ -43,7 +43,7 @@ def order_status(
     )
     held = days.filter(F.col("loaded_at") == F.col("_wanted")).filter(F.col("registered").isNotNull())
     last = held.groupBy(period("registered")).agg(F.max(F.struct("registered", "loaded_at")).alias("_l")).select("_l.*")
-    closing = match(df.filter(wanted), last, ["registered", "loaded_at"], "left_semi").withColumn("month", period("registered"))
+    closing = match(df.filter(wanted), F.broadcast(last), ["registered", "loaded_at"], "left_semi").withColumn("month", period("registered"))
 
     due = ~F.coalesce(F.col("promised") > F.col("registered"), F.lit(False))
     is_order = F.coalesce(F.col("order_class").isin(*order_classes), F.lit(False))
@@ -128,6 +128,6 @@ def reserved_orders(df: DataFrame, plant: str) -> DataFrame:
     of all plants; repeated rows count once.
     """
     dated = df.withColumn("_day", key_timestamp("header_key").cast("date")).withColumn("month", period("_day"))
-    closing = snapshot_per_group(dated, ["month"], "_day").distinct().filter(F.col("plant") == plant)
+    closing = snapshot_per_group(dated, ["month"], "_day", calendar_groups=True).distinct().filter(F.col("plant") == plant)
     sums = closing.groupBy("material", "month").agg(F.sum("remaining_qty").alias("reserved_qty"))
     return sums.select(strip_zeros("material").alias("item"), "month", "reserved_qty", F.lit("PIECES").alias("concept"))

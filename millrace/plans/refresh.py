@@ -62,6 +62,6 @@ def refresh_fact(
     if month is None:
         month = "month"
         rows = rows.withColumn(month, period(F.date_sub(F.col(loaded).cast("date"), shift_days)))
-    kept = snapshot_per_group(rows, [month], loaded, pick)
+    kept = snapshot_per_group(rows, [month], loaded, pick, calendar_groups=True)
     stripped = kept.withColumns({k: strip_zeros(k, 2) for k in keys_to_strip})
     return stripped.withColumnsRenamed(dict(names or {})).distinct()

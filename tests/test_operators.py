@@ -204,3 +204,17 @@ def test_with_partition_stat_first_by_order(series):
     out = W.with_partition_stat(series, ["k"], F.min_by("v", F.struct("at", "id")).alias("f"))
     w = Window.partitionBy("k").orderBy("at", "id")
     assert rows(out.select("id", "f")) == rows(series.select("id", F.first("v").over(w).alias("f")))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_the_plain_one(series, how):
+    right = series.filter("v > 1 or k is null").groupBy("k").agg(F.max("v").alias("top")).filter("k is null or k <> 'b'")
+    assert rows(J.match(series, right, ["k"], how, salts=5)) == rows(J.match(series, right, ["k"], how))
+    with pytest.raises(ValueError):
+        J.match(series, right, ["k"], "full", salts=2)
+
+
+def test_calendar_snapshot_equals_the_general_one(series):
+    days = series.withColumn("day", F.to_date("at")).withColumn("month", F.date_trunc("week", "at"))
+    general = SN.snapshot_per_group(days, ["month"], "day")
+    assert rows(SN.snapshot_per_group(days, ["month"], "day", calendar_groups=True)) == rows(general)

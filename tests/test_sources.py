@@ -2,6 +2,7 @@ import os
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.sources import listing
 from millrace.sources.ingest import ingest_since
@@ -12,6 +13,7 @@ from millrace.sources.registry import (
     TableSpec,
     purchasing_spec,
     sales_spec,
+    schema_of,
     with_types,
 )
 from millrace.sources.scans import (
@@ -193,6 +195,9 @@ def test_specs(spark):
     dictionary = spark.createDataFrame([("T", "N", "CURR"), ("T", "D", "DATS"), ("T", "C", "CHAR"), ("U", "X", "QUAN")], "table string, column string, datatype string")
     spec = with_types(TableSpec("T", ("K",)), dictionary)
     assert (spec.numeric, spec.dates) == (("N",), ("D",))
+    ordered = dictionary.withColumn("position", F.expr("case column when 'C' then 1 when 'D' then 2 else 3 end"))
+    assert schema_of(ordered, "T").simpleString() == "struct<C:string,D:string,N:string>"
+    assert schema_of(ordered, "T", typed=True).simpleString() == "struct<C:string,D:date,N:double>"
 
 
 def test_marks_compare_in_any_time_zone(spark, tmp_path):
