@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Accented capitals and their plain letters, pairwise.
 ACCENTED = "ÁÀÂÄÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
 PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUY"
+# Fixed value: white space characters.
+WHITE_SPACE = " \t\n\x0b\f\r"
 
 
 def _col(c: Column | str) -> Column:
@@ -19,7 +21,8 @@ def strip_zeros(c: Column | str, min_zeros: int = 1) -> Column:
 
     ``min_zeros=2`` leaves ``0ABC`` as it is and turns ``00ABC`` into ``ABC``.
     """
-    return F.regexp_replace(_col(c), f"^0{{{min_zeros},}}", "")
+    stripped = F.ltrim(_col(c), F.lit("0"))
+    return stripped if min_zeros <= 1 else F.when(_col(c).startswith("0" * min_zeros), stripped).otherwise(_col(c))
 
 
 def pad_key(c: Column | str, n: int = 10) -> Column:
@@ -39,7 +42,7 @@ def composite_key(*cs: Column | str, sep: str = "-") -> Column:
 
 def has_text(c: Column | str) -> Column:
     """True when the text holds a visible character; null text gives null."""
-    return _col(c).rlike(r"\S")
+    return F.btrim(_col(c), F.lit(WHITE_SPACE)) != ""
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -54,5 +57,5 @@ def normalise_name(c: Column | str) -> Column:
     off, double spaces to one (one pass), space, ``=`` and ``-`` to ``_``, round brackets off, accents off.
     """
     text = F.translate(F.upper(_col(c)), "/°º.", "_OO ")
-    text = F.replace(F.btrim(text, F.lit(" \t\r\n")), F.lit("  "), F.lit(" "))
+    text = F.replace(F.btrim(text, F.lit(WHITE_SPACE)), F.lit("  "), F.lit(" "))
     return F.translate(F.translate(text, " =-()", "___"), ACCENTED, PLAIN)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import has_text, map_code, map_unit, strip_zeros
 from millrace.operators.columns import upper_all
-from millrace.operators.joins import append_missing, texts_by_language
+from millrace.operators.joins import except_by_key, texts_by_language
+from millrace.operators.sets import union_all
 from millrace.operators.snapshots import latest_by_key
 
 # Language codes of the text table and what each one carries.
@@ -49,6 +50,13 @@ def service_rows(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     return named.distinct(), materials.distinct()
 
 
+def _listed_keys(material: DataFrame, plant: DataFrame) -> DataFrame:
+    """Material and plant of every catalogue row. Versions share their key, so no version has to be chosen for this."""
+    master = material.select(strip_zeros("material", 2).alias("material"))
+    keys = plant.select(strip_zeros("material", 2).alias("material"), "plant").join(master, "material", "left_semi")
+    return keys.select(strip_zeros(F.upper("material")).alias("material"), F.upper("plant").alias("plant"))
+
+
 def article_catalogue(
     material: DataFrame,
     plant: DataFrame,
@@ -100,9 +108,9 @@ def article_catalogue(
     lines = sales_lines.groupBy("material", "system").agg(F.max("line").alias("line")).withColumn("plant", F.lit(main_plant))
     services, materials = service_rows(orders)
     listed = named.join(lines, ["material", "plant"], "left")
-    full = append_missing(
-        listed.unionByName(services, allowMissingColumns=True), materials, ["material", "plant"]
-    )
+    present = _listed_keys(material, plant).unionByName(services.select("material", "plant"))
+    missing = except_by_key(materials, present, ["material", "plant"])
+    full = union_all(listed, services, missing)
     sheet = categories.groupBy("material", "plant").agg(F.max("category").alias("category"))
     is_service = F.col("purchase_type") == "SERVICE"
     return (

@@ -30,7 +30,7 @@ def test_to_number_never_fails(spark, text, number):
     assert one(spark, M.to_number, text) == number
 
 
-@pytest.mark.parametrize("text, day", [("2024-02-29", date(2024, 2, 29)), ("2023-02-29", None), ("20240101", None), ("x", None)])
+@pytest.mark.parametrize("text, day", [("2024-02-29", date(2024, 2, 29)), ("2023-02-29", None), ("20240101", None), ("x", None), ("2024-1-05", None), ("2024-01-1 ", None), (" 2024-01-1", None), ("2024-13-01", None), ("ab24-01-01", None), ("2024-01-01T00", None)])
 def test_to_day_never_fails(spark, text, day):
     assert one(spark, M.to_day, text) == day
 
@@ -97,4 +97,4 @@ def test_ratio_by_zero_is_null(spark):
 
 
 def test_has_text(spark):
-    assert [one(spark, M.has_text, t) for t in ("a", " ", "", None)] == [True, False, False, None]
+    assert [one(spark, M.has_text, t) for t in ("a", " ", "", None, "\t\n", " x\t")] == [True, False, False, None, False, True]
