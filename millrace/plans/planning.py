@@ -50,7 +50,9 @@ def _both_units(df: DataFrame, ids: Sequence[str], pieces: Column, amount: Colum
     return df.select(*ids, F.inline(rows))
 
 
-def stock_positions(opening: DataFrame, closing: DataFrame, fiscal: DataFrame, consigned: str = "CONSIGNED") -> tuple[DataFrame, DataFrame]:
+def stock_positions(
+    opening: DataFrame, closing: DataFrame, fiscal: DataFrame, consigned: str = "CONSIGNED"
+) -> tuple[DataFrame, DataFrame]:
     """Opening and closing stock by item, month and concept.
 
     ``opening`` and ``closing``: item, month, ownership, units, value. The closing amount is the closing units at the
@@ -255,9 +257,18 @@ def planning_spine(
 
     ``items``: item, max_stock and any attributes. Every measure table is unique on its keys (item, month and concept,
     or some of them). The stock target falls back to the plant's maximum stock.
+
+    Measures per item are joined before the items are expanded to months, and those per item and month before the
+    expansion to concepts, so that each join shuffles the shortest spine that has its keys.
     """
-    spine = cross_spine(items, months, {"concept": [PIECES, AMOUNT]})
-    out = left_join_all(spine, measures)
+    parts = [(df, frozenset(keys), list(keys)) for df, keys in measures]
+    by_item = [(df, keys) for df, known, keys in parts if known == {"item"}]
+    by_month = [(df, keys) for df, known, keys in parts if "month" in known and "concept" not in known]
+    by_concept = [(df, keys) for df, known, keys in parts if "concept" in known]
+    spine = cross_spine(left_join_all(items, by_item), months)
+    spine = left_join_all(spine, by_month)
+    concepts = F.explode(F.array(F.lit(PIECES), F.lit(AMOUNT)))
+    out = left_join_all(spine.withColumn("concept", concepts), by_concept)
     if target in out.columns:
         out = out.withColumn(target, F.coalesce(F.col(target), F.col(max_stock)).cast("int"))
     return out

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import clamp
 from millrace.operators.columns import mask_after, mask_before
-from millrace.operators.reshape import with_amounts
 
 PROJECTED = ["final_stock", "end_stock", "estimated_backlog", "opening_stock", "prior_backlog", "recovered_backlog", "covered_demand"]
 
@@ -128,8 +127,3 @@ def merge_projections(
     for part in (daily, opening, receipts):
         out = out.join(part, keys, "left")
     return mask_before(out, planned, "month", as_of.replace(day=1))
-
-
-def amounts_of(df: DataFrame, cols: Sequence[str], price: str) -> DataFrame:
-    """Rows in pieces and amounts at one price column."""
-    return with_amounts(df, cols, F.col(price))

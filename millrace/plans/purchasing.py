@@ -212,10 +212,13 @@ def goods_receipts(
     )
     none = F.lit(None).cast("double")
     price = ratio("value", "qty")
-    rows = F.array(
-        F.struct(F.lit("PIECES").alias("unit"), F.col("qty").alias("receipts"), none.alias("supplier_qty"), F.col("_p").alias("receipt_price")),
-        F.struct(F.lit("AMOUNT").alias("unit"), F.col("value").alias("receipts"), F.col("qty").alias("supplier_qty"), F.col("_p").alias("receipt_price")),
-    )
+    def row(unit: str, receipts: str, supplier_qty: Column) -> Column:
+        return F.struct(
+            F.lit(unit).alias("unit"), F.col(receipts).alias("receipts"), supplier_qty.alias("supplier_qty"),
+            F.col("_p").alias("receipt_price"),
+        )
+
+    rows = F.array(row("PIECES", "qty", none), row("AMOUNT", "value", F.col("qty")))
     out = sums.withColumn("_p", price).select("document", "position", "plant", "posting_date", F.inline(rows))
     return out.withColumn("month", period("posting_date"))
 
