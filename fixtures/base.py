@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 from collections.abc import Callable
 from datetime import date
 
@@ -16,13 +18,20 @@ AS_OF = date(1998, 6, 15)
 EVENTS_AS_OF = date(2024, 1, 31)
 
 
+def with_folder(spark: SparkSession) -> SparkSession:
+    """A session of one machine that names no shared folder gets a temporary one; any other session is left as it is."""
+    if spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Register a query and, if it has one, its SQL twin."""
 
     def register(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = functools.wraps(fn)(lambda spark, sf_dir: fn(with_folder(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a new temporary one only where the session names none (local runs)."""
+    """Folder named by ``spark.checkpoint.dir``, which every machine of the cluster must see."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", named)
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return named
 
 

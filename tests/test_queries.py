@@ -6,10 +6,11 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fixtures import ORACLES, QUERIES
 from millrace.testing.oracle import compare, connect
 
-QUERIES, SQL = queries(), oracle_sql()
+SQL = ORACLES
 
 
 @pytest.fixture(scope="module")
