@@ -20,8 +20,10 @@ EVENTS_AS_OF = date(2024, 1, 31)
 
 def with_folder(spark: SparkSession) -> SparkSession:
     """A session of one machine that names no shared folder gets a temporary one; any other session is left as it is."""
-    if spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.split("[")[0] == "local":
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return spark
 
 

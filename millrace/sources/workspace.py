@@ -8,8 +8,8 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, which every machine of the cluster must see."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``, which every machine of the cluster must see."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return named
