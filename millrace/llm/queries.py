@@ -6,10 +6,11 @@ import functools
 import tempfile
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+from millrace.llm import pieces, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +39,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     got = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return got.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text decoded from them."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
