@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import pieces, simhash
+from millrace.llm import packing, pieces, records, simhash
+from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +53,34 @@ def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, read back from record files."""
+    folder = new_path(spark, "records")
+    docs = table(spark, sf_dir, "documents")
+    manifest = records.write_records(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return records.read_records(spark, folder, manifest).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 4096 tokens."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    file = public_tokenizers.path("word_bpe_49k.json")
+    got = packing.pack_documents(docs, file, end_id=2, limit=4096)
+    return got.select(
+        "doc_id",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        packing.ids_crc32(F.col("ids"), file).alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        F.col("offset").cast("long").alias("offset"),
+    )
