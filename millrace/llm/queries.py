@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, pieces, records, simhash
+from millrace.llm import packing, pieces, quality, records, simhash
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    value, failed = F.col("measures"), quality.base_failed(F.col("measures"))
+    kept = (~failed & F.col("kept")).alias("kept")
+    return quality.judged(docs).select("doc_id", *[value[m].alias(m) for m in shown], failed.alias("base_failed"), kept)
+
+
+ORACLES["op4_quality_rules"] = quality.duckdb_sql()
+
+
 @query
 def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document and the text decoded from them."""
