@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, pieces, quality, records, simhash
+from millrace.llm import packing, pieces, piecewise, quality, records, simhash
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piecewise fingerprint of every document, of an edit of it, and their likeness."""
+    own = F.col("fingerprint")
+    return piecewise.edited_by_next(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        piecewise.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        piecewise.likeness(own, F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
