@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, pieces, piecewise, quality, records, simhash
+from millrace.llm import packing, pieces, piecewise, quality, records, simhash, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +57,15 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    grammar = toxicity.learn(docs, table(spark, sf_dir, "labels"), toxicity.train_rows())
+    scored = docs.select("doc_id", (~toxicity.train_rows()).alias("held_out"), toxicity.score(F.col("text"), grammar).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
