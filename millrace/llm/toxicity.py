@@ -120,10 +120,14 @@ def _patterns(text: str) -> set[str]:
 
 
 def _signature(text: str) -> list[int]:
-    """Four smallest hashes of the words, each under another seed: near copies share at least one almost surely."""
-    hashes = np.array([zlib.crc32(w.encode()) for w in set(WORDS.findall(text.lower()))] or [0], np.uint64)
-    factors = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint64)
-    return ((hashes[:, None] * factors + factors // np.uint64(7)) & np.uint64(0xFFFFFFFF)).min(axis=0).astype(np.int64).tolist()
+    """Smallest hashes of the three-word shingles, two for each of four marks: near copies share a mark almost surely,
+    texts that only share a passage rarely do."""
+    words = WORDS.findall(text.lower())
+    shingles = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+    hashes = np.array([zlib.crc32(s.encode()) for s in shingles], np.uint64)
+    factors = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint64)
+    least = ((hashes[:, None] * factors >> np.uint64(7)) & np.uint64(0x7FFFFFFF)).min(axis=0)
+    return (least[::2] << np.uint64(32) | least[1::2]).astype(np.int64).tolist()
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS) -> Grammar:
@@ -166,12 +170,11 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 
     counts = chosen.mapInPandas(count, "pattern string, clean long, toxic long").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counts = saved(counts, "patterns")
-    # Each count is weighed as if both classes had been sampled alike.
     base = total[1] / (total[1] + total[0])
     p, n = F.col("toxic") / (F.col("toxic") + F.col("clean")), F.col("toxic") + F.col("clean")
     gain = F.col("toxic") * F.log(p / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - p) / (1 - base))).otherwise(0.0)
     tried = max(2, counts.filter("toxic >= 3").count())
-    passed = counts.filter((p > max(0.5, (1 + base) / 2)) & (gain > math.log(tried) + 2) & (n >= 3)).orderBy(F.desc("toxic"), "pattern").limit(PATTERNS)
+    passed = counts.filter((p > 2.5 * base / (1 + 1.5 * base)) & (gain > math.log(tried) + 2) & (n >= 3)).orderBy(F.desc("toxic"), "pattern").limit(PATTERNS)
     found = {r["pattern"]: (r["toxic"], r["clean"]) for r in passed.collect()}
     grammar = Grammar()
     for pattern, (toxic, clean) in found.items():
