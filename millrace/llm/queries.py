@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, packing, pieces, piecewise, quality, records, simhash, toxicity
+from millrace.llm import chat, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
 from millrace.llm.common import saved
 from millrace.sources.workspace import new_path
 
@@ -134,3 +134,30 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.createDataFrame([(-1, 0, "user", HOSTILE), (-1, 1, "assistant", HOSTILE)], "conv_id long, turn long, role string, text string")
     return chat.read_back(saved(chat.format_turns(turns.union(hostile)), "segments"))
+
+
+#: Verdict, then host and path of the rule.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op10_url_filter"] = urls.duckdb_sql(URL_RULES)
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the corpus pipeline."""
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
