@@ -122,8 +122,11 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The rows whose text keeps all rules, with the columns of ``docs``."""
-    out, kept = fresh(docs, "measures"), fresh(docs, "kept")
-    return judged(docs, rules, text_col, out, kept).filter(kept).drop(out, kept)
+    out, kept, task = fresh(docs, "measures"), fresh(docs, "kept"), fresh(docs, "task")
+    # The task number keeps the filter above the projections. Pushed below, it would carry copies of their columns into
+    # the lambdas, where they would be worked out once per word.
+    marked = judged(docs, rules, text_col, out, kept).withColumn(task, F.spark_partition_id())
+    return marked.filter(F.col(kept) & (F.col(task) >= 0)).drop(out, kept, task)
 
 
 def duckdb_sql(table: str = "documents") -> str:
