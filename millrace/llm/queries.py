@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
-from millrace.llm.common import saved
+from millrace.llm import chat, language_model, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
+from millrace.llm.common import remainder, saved
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op4_quality_rules"] = quality.duckdb_sql()
 
 
+@query
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, learned from nine tenths of them."""
+    got = language_model.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0)
+    shown = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return got.select("doc_id", (~F.col("in_training")).alias("held_out"), *shown)
+
+
 @query
 def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document and the text decoded from them."""
