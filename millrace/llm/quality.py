@@ -90,6 +90,9 @@ def measures(docs: DataFrame, text_col: str = "text", out: str = "measures") ->
         "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
         "n_repeat_words": F.coalesce(covered, F.lit(0)),
     }
+    # The task number, times 0, keeps filters of later steps above this one. Pushed below, they would carry copies of the
+    # steps' columns into the lambdas, where they would be worked out once per word.
+    values["n_words"] = values["n_words"] + F.spark_partition_id() * 0
     got = F.struct(*[values[m].cast("long").alias(m) for m in MEASURES])
     return step.withColumn(out, got).drop(w, lines, wins, order, hits)
 
@@ -122,11 +125,8 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The rows whose text keeps all rules, with the columns of ``docs``."""
-    out, kept, task = fresh(docs, "measures"), fresh(docs, "kept"), fresh(docs, "task")
-    # The task number keeps the filter above the projections. Pushed below, it would carry copies of their columns into
-    # the lambdas, where they would be worked out once per word.
-    marked = judged(docs, rules, text_col, out, kept).withColumn(task, F.spark_partition_id())
-    return marked.filter(F.col(kept) & (F.col(task) >= 0)).drop(out, kept, task)
+    out, kept = fresh(docs, "measures"), fresh(docs, "kept")
+    return judged(docs, rules, text_col, out, kept).filter(kept).drop(out, kept)
 
 
 def duckdb_sql(table: str = "documents") -> str:
