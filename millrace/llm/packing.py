@@ -46,8 +46,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, end_id: int, limit: int, id_col
         end, w = tokens.end(end_id), tokens.width
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = tokens.encode(text or "", end)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tokens.encode_all(texts, end), strict=True):
                 n = len(ids) // w
                 out.extend((doc_id, n, s, min(limit, n - s), ids[s * w : (s + limit) * w]) for s in range(0, n, limit))
             if out:

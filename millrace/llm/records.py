@@ -129,8 +129,8 @@ def _write_file(batches: Iterator[pa.RecordBatch], folder: str, tokenizer_file:
             data = fs.open_output_stream(f"{own}.rec", buffer_size=BUFFER)
             index = fs.open_output_stream(f"{own}.idx", buffer_size=BUFFER)
             offset = 0
-        for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = tokens.encode(text or "", end)
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        for doc_id, ids in zip(batch.column("id").to_pylist(), tokens.encode_all(texts, end), strict=True):
             out = frame(FRONT.pack(doc_id or 0, doc_id is not None, tokens.width) + ids)
             data.write(out)
             index.write(struct.pack("<Q", offset))

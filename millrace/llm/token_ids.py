@@ -1,9 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, worked out once per distinct word of a worker.
 
 The pre-tokenizers of these files never join characters across a single space between two others, and the space goes
-with the word after it or is dropped. So a text is cut before every such space and each part is encoded by the
-library; parts that occur again come from a bounded memory, which changes nothing in the result. Strings of special
-tokens inside a text are ordinary text.
+with the word after it or is dropped. So a text is cut before every such space. A part that is new is cut further
+where a letter or digit meets a mark of ASCII or a line end, and after a single line end: there, too, the pre-tokenizers
+always cut. Each piece is encoded by the library. Parts and pieces that occur again come from a bounded memory, which
+changes nothing in the result. Strings of special tokens inside a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 
 from tokenizers import Tokenizer  # noqa: E402
 
-#: Parts that a worker remembers at most; when it is full the memory starts again.
-MEMORY = 500_000
-CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Parts that a worker remembers at most, and as many pieces; when a memory is full it starts again.
+MEMORY = 600_000
+PART = re.compile(r"(?<=\S) (?=\S)")
+PIECE = re.compile(r"(?<=[^\W_])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=[^\W_])")
 
 
 class WordTokenizer:
@@ -32,36 +34,36 @@ class WordTokenizer:
         self.lib.no_truncation()
         self.width = 2 if self.lib.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], parts: list[str], front: str) -> None:
-        new = [p for p in set(parts) if p not in known]
-        for i in range(0, len(new), 1 << 14):
-            chunk = new[i : i + (1 << 14)]
-            for part, got in zip(chunk, self.lib.encode_batch_fast([front + p for p in chunk], add_special_tokens=False), strict=True):
-                known[part] = np.array(got.ids, self.dtype).tobytes()
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts, each as it stands."""
+        cut, known = [PIECE.split(p) for p in parts], self.pieces
+        if len(known) > MEMORY:
+            known.clear()
+        new = list(set().union(*cut).difference(known))
+        for i in range(0, len(new), 1 << 13):
+            chunk = new[i : i + (1 << 13)]
+            for piece, got in zip(chunk, self.lib.encode_batch_fast(chunk, add_special_tokens=False), strict=True):
+                known[piece] = np.array(got.ids, self.dtype).tobytes()
+        return [b"".join([known[x] for x in c]) for c in cut]
+
+    def encode_all(self, texts: list[str], last: bytes = b"") -> list[bytes]:
+        """Ids of each text, then ``last``."""
+        cut, known = [PART.split(t) for t in texts], self.parts
+        if len(known) > MEMORY:
+            known.clear()
+        heads = self._learn([c[0] for c in cut])
+        for c in cut:
+            del c[0]
+        new = list(set().union(*cut).difference(known))
+        known.update(zip(new, self._learn([" " + p for p in new]), strict=True))
+        get = known.__getitem__
+        return [b"".join([h, *map(get, c), last]) for h, c in zip(heads, cut, strict=True)]
 
     def encode(self, text: str, last: bytes = b"") -> bytes:
-        """Ids of the text, then ``last``."""
-        if not text:
-            return last
-        parts = CUT.split(text)
-        if len(self.rest) + len(self.first) > MEMORY:
-            self.rest.clear()
-            self.first.clear()
-        head = parts[0]
-        if head not in self.first:
-            self._learn(self.first, [head], "")
-        parts[0] = ""
-        get = self.rest.get
-        got = list(map(get, parts))
-        if got.count(None) > 1:
-            self._learn(self.rest, parts[1:], " ")
-            got = list(map(get, parts))
-        got[0] = self.first[head]
-        got.append(last)
-        return b"".join(got)
+        return self.encode_all([text], last)[0]
 
     def end(self, token: int) -> bytes:
         return np.array([token], self.dtype).tobytes()
