@@ -216,8 +216,8 @@ def biz_price_list_domestic(spark, sf_dir):
 
 @query(
     "biz_latest_conditions",
-    f"""{PRICES} select material, customer, channel, lpad(condition_no, 10, '0') as condition_no, valid_from from con
-    qualify row_number() over (partition by material, customer, channel order by valid_from desc, lpad(condition_no, 10, '0') desc) = 1""",
+    f"""{PRICES} select material, customer, channel, case when length(condition_no) >= 10 then condition_no else lpad(condition_no, 10, '0') end as condition_no, valid_from from con
+    qualify row_number() over (partition by material, customer, channel order by valid_from desc, case when length(condition_no) >= 10 then condition_no else lpad(condition_no, 10, '0') end desc) = 1""",
 )
 def biz_latest_conditions(spark, sf_dir):
     _, conditions, _, _ = _prices(spark, sf_dir)

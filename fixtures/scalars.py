@@ -36,11 +36,11 @@ def sca_strip_zeros(spark, sf_dir):
 
 @query(
     "sca_lpad",
-    "select o_orderkey, lpad(cast(o_orderkey as varchar), 10, '0') as padded, lpad(o_orderpriority, 4, '0') as cut from orders",
+    "select o_orderkey, lpad(cast(o_orderkey as varchar), 10, '0') as padded, case when length(o_orderpriority) >= 11 then o_orderpriority else lpad(o_orderpriority, 11, '0') end as mixed from orders",
 )
 def sca_lpad(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", pad_key("o_orderkey").alias("padded"), pad_key("o_orderpriority", 4).alias("cut"))
+    return o.select("o_orderkey", pad_key("o_orderkey").alias("padded"), pad_key("o_orderpriority", 11).alias("mixed"))
 
 
 @query(

@@ -9,7 +9,7 @@ from millrace.functions.keys import (
     pad_key,
     strip_zeros,
 )
-from millrace.functions.numbers import clamp, clean_number, exact_sum, ratio, to_number
+from millrace.functions.numbers import clamp, clean_number, ratio, to_number
 from millrace.functions.periods import (
     extract_period,
     in_period,
@@ -26,7 +26,6 @@ __all__ = [
     "clamp",
     "clean_number",
     "composite_key",
-    "exact_sum",
     "extract_period",
     "has_text",
     "in_period",

@@ -26,8 +26,9 @@ def strip_zeros(c: Column | str, min_zeros: int = 1) -> Column:
 
 
 def pad_key(c: Column | str, n: int = 10) -> Column:
-    """Left-pad a key with zeros to ``n`` characters; longer keys are cut to ``n``."""
-    return F.lpad(_col(c).cast("string"), n, "0")
+    """Left-pad a key with zeros to ``n`` characters; longer keys stay whole."""
+    key = _col(c).cast("string")
+    return F.when(F.length(key) >= n, key).otherwise(F.lpad(key, n, "0"))
 
 
 def composite_key(*cs: Column | str, sep: str = "-") -> Column:

@@ -32,8 +32,3 @@ def clamp(c: Column | str, lo: Column | float | None = 0, hi: Column | float | N
     if hi is not None:
         out = F.least(out, hi if isinstance(hi, Column) else F.lit(hi))
     return F.when(value.isNotNull(), out)
-
-
-def exact_sum(c: Column | str, scale: int = 2) -> Column:
-    """Sum in fixed-point decimals, returned as double: the same total for every partitioning and retry."""
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")

@@ -29,13 +29,13 @@ def weekly_sales(
     customer, region, advisor, group. ``budget``: customer, month (date), budget. ``managers``: region, manager_mail.
     ``advisors``: advisor, advisor_mail.
 
-    Of each ISO week of the last month the last recorded day counts, and every customer has every week (0 if missing).
+    Of each ISO week of the last month up to ``as_of`` the last recorded day counts, and every customer has every week (0 if missing).
     The week's sales are the value less the one of the week before: 0 in the first week of a month, also across a year
     end, and null in the first week of all. A group without sales this week shows its month to date. Groups without a
     budget go. Attainment is net orders over budget in percent, worked out from the sums.
     """
     start = as_of - relativedelta(months=1)
-    rows = facts.filter(F.col("day") >= F.lit(start))
+    rows = facts.filter(F.col("day").between(F.lit(start), F.lit(as_of)))
     daily = rows.groupBy("customer", "day").agg(*[F.sum(m).cast("double").alias(m) for m in MEASURES])
     # A month has at most six weeks, so their last days travel as one small array instead of a join.
     days = rows.select("day").distinct()

@@ -14,6 +14,10 @@ from millrace.sources.scans import CORRUPT, json_reader
 from millrace.sources.writers import write_table
 
 
+# The source would pass over files that are older than the newest by more than this.
+NEVER_TOO_OLD = "365000d"
+
+
 def ingest_incremental(
     spark: SparkSession,
     source: str,
@@ -27,7 +31,6 @@ def ingest_incremental(
     quarantine: str | None = None,
     multiline: bool = False,
     max_files_per_batch: int = 10_000,
-    max_file_age: str = "3650d",
 ) -> None:
     """Append every file that arrived since the last run, then stop.
 
@@ -38,7 +41,7 @@ def ingest_incremental(
     reader = json_reader(spark.readStream, schema, multiline, False, quarantine is not None)
     stream = (
         reader.option("maxFilesPerTrigger", max_files_per_batch)
-        .option("maxFileAge", max_file_age)
+        .option("maxFileAge", NEVER_TOO_OLD)
         .json(source)
         .select(
             "*",

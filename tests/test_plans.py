@@ -320,6 +320,7 @@ def test_prior_forecast_in_january_and_december(spark):
 
 def test_weekly_report_across_the_year_end(spark):
     days = [(date(2023, 12, 28), 100.0), (date(2023, 12, 31), 140.0), (date(2024, 1, 5), 30.0)]
+    days.append((date(2024, 3, 20), 500.0))  # after as_of: not yet known
     facts = spark.createDataFrame([("c", d, v, v, 10.0, 1.0) for d, v in days] + [("x", date(2024, 1, 5), 5.0, 5.0, 0.0, 0.0)], "customer string, day date, billed double, ordered double, rejected double, backlog double")
     clients = spark.createDataFrame([("c", "R", "A", "G"), ("x", "R", "A", "H"), ("z", "R", "A", "G")], "customer string, region string, advisor string, group string")
     budget = spark.createDataFrame([("c", date(2024, 1, 1), 40.0), ("z", date(2024, 1, 1), 10.0)], "customer string, month date, budget double")

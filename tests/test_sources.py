@@ -154,6 +154,14 @@ def test_stream_ingest_is_idempotent_and_sets_bad_rows_aside(spark, tmp_path):
     assert [r["_corrupt_record"] for r in spark.read.parquet(bad).collect()] == ['{"a": "2"']
 
 
+def test_old_files_are_not_passed_over(spark, tmp_path):
+    landing, bronze, progress = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "progress")
+    for at, name in ((datetime(2024, 2, 1), "a"), (datetime(1995, 2, 1), "b")):
+        put(landing, f"{name}.json", f'{{"a": "{name}", "b": "x"}}\n', at)
+        ingest_incremental(spark, str(landing), bronze, SCHEMA, progress)
+    assert sorted(r["a"] for r in spark.read.parquet(bronze).collect()) == ["a", "b"]
+
+
 def test_write_table_copies_partition_columns_and_replaces_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], "m string, v int")
