@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -18,12 +19,52 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 
 from tokenizers import Tokenizer  # noqa: E402
 
-#: Parts that a worker remembers at most, and as many pieces; when a memory is full it starts again.
-MEMORY = 600_000
+#: Pieces remembered in each of two memories. When the newer is full it takes the older one's place, and what is still
+#: in use moves over, so that only seldom words are worked out again.
+PIECES = 300_000
+#: Parts remembered; when they are more, their memory starts again, which the pieces make cheap.
+PARTS = 300_000
 PART = re.compile(r"(?<=\S) (?=\S)")
 PIECE = re.compile(r"(?<=[^\W_])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=[^\W_])")
 
 
+class Careful(Exception):
+    """A part begins or ends with white space: its text must be cut with more care."""
+
+
+class Pieces(dict):
+    """Ids of pieces, asked of the library when first met."""
+
+    def __init__(self, lib: Tokenizer, code: str):
+        self.lib, self.code, self.old = lib, code, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > PIECES:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array(self.code, self.lib.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
+        self[piece] = ids
+        return ids
+
+
+class Parts(dict):
+    """Ids of parts after a blank, put together from pieces when first met."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, part: str) -> bytes:
+        # A blank beside another white space is no place to cut. Such parts are never remembered, so they show each time.
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise Careful
+        if len(self) > PARTS:
+            self.clear()
+        ids = self[part] = b"".join(map(self.pieces.__getitem__, PIECE.split(" " + part)))
+        return ids
+
+
 class WordTokenizer:
     """Encodes texts to id bytes: ``width`` bytes an id, little-endian."""
 
@@ -34,33 +75,25 @@ class WordTokenizer:
         self.lib.no_truncation()
         self.width = 2 if self.lib.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _learn(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts, each as it stands."""
-        cut, known = [PIECE.split(p) for p in parts], self.pieces
-        if len(known) > MEMORY:
-            known.clear()
-        new = list(set().union(*cut).difference(known))
-        for i in range(0, len(new), 1 << 13):
-            chunk = new[i : i + (1 << 13)]
-            for piece, got in zip(chunk, self.lib.encode_batch_fast(chunk, add_special_tokens=False), strict=True):
-                known[piece] = np.array(got.ids, self.dtype).tobytes()
-        return [b"".join([known[x] for x in c]) for c in cut]
+        self.pieces = Pieces(self.lib, {2: "H", 4: "I"}[self.width])
+        self.parts = Parts(self.pieces)
+
+    def _learn(self, part: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECE.split(part)))
 
     def encode_all(self, texts: list[str], last: bytes = b"") -> list[bytes]:
         """Ids of each text, then ``last``."""
-        cut, known = [PART.split(t) for t in texts], self.parts
-        if len(known) > MEMORY:
-            known.clear()
-        heads = self._learn([c[0] for c in cut])
-        for c in cut:
-            del c[0]
-        new = list(set().union(*cut).difference(known))
-        known.update(zip(new, self._learn([" " + p for p in new]), strict=True))
-        get = known.__getitem__
-        return [b"".join([h, *map(get, c), last]) for h, c in zip(heads, cut, strict=True)]
+        out, get = [], self.parts.__getitem__
+        for text in texts:
+            head, *rest = text.split(" ")
+            try:
+                if not head or head[-1].isspace():
+                    raise Careful
+                out.append(b"".join([self._learn(head), *map(get, rest), last]))
+            except Careful:
+                head, *rest = PART.split(text)
+                out.append(b"".join([self._learn(head), *[self._learn(" " + p) for p in rest], last]))
+        return out
 
     def encode(self, text: str, last: bytes = b"") -> bytes:
         return self.encode_all([text], last)[0]
