@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,6 +162,17 @@ def test_language_model_query(spark, sf_dir, documents):
     assert sum(r["score"] for r in held) > 1.01 * sum(r["base_score"] for r in held)
 
 
+def test_every_window_is_trained_on():
+    texts = [prose(i, 3 + 40 * i).encode() for i in range(6)]
+    batch = pa.RecordBatch.from_pydict({"raw": pa.array([*texts, None], pa.binary())})
+    blobs = [b for out in language_model._gather([batch]) for b in out.column("windows").to_pylist() if b]
+    got = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, attention.SPAN + 1) for b in blobs])
+    fronts = language_model.Fronts()
+    cut = [language_model.words_of(t) for t in [*texts, None]]
+    want, _ = attention.windows([language_model.sequence(w, set(w), fronts) for w in cut])
+    assert sorted(map(bytes, got)) == sorted(map(bytes, want))
+
+
 def test_training_helps():
     rng = np.random.default_rng(4)
     # Each text keeps to one half of the ids: what came before tells which.
