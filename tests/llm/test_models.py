@@ -163,16 +163,37 @@ def test_language_model_query(spark, sf_dir, documents):
 
 
 def test_every_window_is_trained_on():
-    texts = [prose(i, 3 + 40 * i).encode() for i in range(6)]
-    batch = pa.RecordBatch.from_pydict({"raw": pa.array([*texts, None], pa.binary())})
-    blobs = [b for out in language_model._gather([batch]) for b in out.column("windows").to_pylist() if b]
+    texts = [*[prose(i, 3 + 40 * i).encode() for i in range(6)], None]
+    units = language_model.learn_subwords(Counter(w for t in texts for w in language_model.words_of(t)))
+    batch = pa.RecordBatch.from_pydict({"raw": pa.array(texts, pa.binary())})
+    blobs = [b for out in language_model._gather([batch], units) for b in out.column("windows").to_pylist()]
     got = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, attention.SPAN + 1) for b in blobs])
-    fronts = language_model.Fronts()
-    cut = [language_model.words_of(t) for t in [*texts, None]]
-    want, _ = attention.windows([language_model.sequence(w, set(w), fronts) for w in cut])
+    speller = language_model.Speller(units)
+    want, _ = attention.windows([language_model.spell(language_model.words_of(t), speller)[0] for t in texts])
     assert sorted(map(bytes, got)) == sorted(map(bytes, want))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=9), max_size=6))
+def test_subwords_cover_the_whole_word(words):
+    counts = Counter(w for i in range(20) for w in language_model.words_of(prose(i, 60).encode()))
+    units = language_model.learn_subwords(counts)
+    speller = language_model.Speller(units)
+    assert len(units) == attention.IDS - 1 - language_model.HALVES and max(map(len, units)) > 2
+    ids, sizes = language_model.spell(words, speller)
+    assert len(ids) == 1 + sum(sizes) and ids[0] == ids[-1] == 0 and len(sizes) == len(words) + 1
+    back, halves = b"", []
+    for i in ids[1:-1].tolist():
+        halves += [i - 1] if i <= language_model.HALVES else []
+        back += units[i - 1 - language_model.HALVES] if i > language_model.HALVES else b""
+        if len(halves) == 2:
+            back += bytes([16 * halves[0] + halves[1]])
+            halves = []
+    assert back == b"".join(b" " + w for w in words) and not halves
+    # Words that differ only behind their third byte are different to attention.
+    assert speller[b"information"] != speller[b"infinite"] and speller[b""] == b"\0"
+
+
 def test_training_helps():
     rng = np.random.default_rng(4)
     # Each text keeps to one half of the ids: what came before tells which.
