@@ -1,10 +1,10 @@
 """Chat formatting by prefix-target expansion: every assistant turn is an example of its own.
 
 A turn is written as ``<|im_start|>role``, a line end, the text, ``<|im_end|>`` and a line end. The context of an
-example is everything before its assistant turn, and only that turn's text is trainable. All examples of a
-conversation are fronts of one and the same row of segments, so each turn is written once, with its place in the
-conversation; an example is a pair of places. A conversation of n turns then takes n rows, not the n * n / 2 that
-spelled-out contexts would, and ``spell_out`` makes the full text of chosen examples.
+example is everything before its assistant turn, and only that turn's text is trainable. ``format_turns`` writes each
+turn once, with its place in the conversation, and ``examples`` makes all examples with their full contexts from that.
+A conversation is cut into slices of ``SLICE`` characters, and an example has a row for each slice that it reaches, so
+that no row grows with the conversation; the rows of all its examples grow with the square of its length.
 
 Inside a text, control strings are escaped: every ``<|``, with any backslashes between the two, gets one backslash
 more. Inside a role, backslashes and line ends are escaped as well. Both ways back are exact.
@@ -27,6 +27,8 @@ from millrace.llm.common import with_small_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 TARGET = "assistant"
+#: Characters of a conversation in one row of an example.
+SLICE = 1 << 16
 #: Shape of a segment, to read it back.
 SEGMENT = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*){re.escape(END)}\n", re.DOTALL)
 
@@ -123,50 +125,123 @@ def spell_out(segments: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """What the segments say, per conversation: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
+def examples(segments: DataFrame) -> DataFrame:
+    """All examples, one for each target: (conv_id, place, slice, context, reply).
 
-    Roles and texts are parsed from the segments and the trainable text is cut out by its bounds. A digest runs over
-    the turns in order, so a conversation is one stream of rows, of which one batch at a time is held.
+    The context of an example is that of its slices one after the other, and so is its reply. Examples of no more than
+    ``SLICE`` characters are one row.
     """
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    size, end = F.length("segment"), F.col("start") + F.length("segment")
+    cut = segments.select("conv_id", "start", "segment", F.explode(F.sequence(F.floor(F.col("start") / SLICE), F.floor((end - 1) / SLICE))).alias("slice"))
+    skipped = F.greatest(F.col("slice") * SLICE - F.col("start"), F.lit(0))
+    taken = F.least((F.col("slice") + 1) * SLICE - F.col("start"), size) - skipped
+    parts = cut.select("conv_id", "slice", F.struct("start", F.substr("segment", (skipped + 1).cast("int"), taken.cast("int")).alias("text")).alias("part"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda x: x["text"]), "")
+    slices = parts.groupBy("conv_id", "slice").agg(joined.alias("text"))
+    targets = segments.filter("loss_start is not null").select(F.col("conv_id").alias("c"), "place", "loss_start", "loss_end")
+    begin = F.col("slice") * SLICE
+    pairs = slices.join(targets, F.col("conv_id").eqNullSafe(F.col("c")) & (begin < F.col("loss_end")))
+    front = F.least(F.greatest(F.col("loss_start") - begin, F.lit(0)), F.lit(SLICE)).cast("int")
+    back = F.least(F.col("loss_end") - begin, F.lit(SLICE)).cast("int")
+    return pairs.select(
+        "conv_id",
+        "place",
+        "slice",
+        F.substr("text", F.lit(1), front).alias("context"),
+        F.substr("text", front + 1, back - front).alias("reply"),
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def read_back(segments: DataFrame, made: DataFrame | None = None) -> DataFrame:
+    """What is written, per conversation: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars).
+
+    Roles and texts are parsed from the segments, the trainable text comes from the replies of the examples ``made``
+    (those of the segments where none are given), and formatted_chars counts the characters of all examples. A digest
+    runs over the rows of a conversation in order, so it is one stream, of which one batch at a time is held.
+    """
+    made = examples(segments) if made is None else made
+
+    def turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _digest(batches)
 
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    def replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _digest_replies(batches)
+
+    ordered = segments.select("conv_id", "place", "segment").repartition("conv_id").sortWithinPartitions("conv_id", "place")
+    said = ordered.mapInArrow(turns, "conv_id long, n_turns long, turns_sha256 string")
+    rows = made.select("conv_id", "place", "slice", "reply", (F.length("context") + F.length("reply")).cast("long").alias("chars"))
+    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "place", "slice")
+    learned = ordered.mapInArrow(replies, "c long, loss_chars long, loss_sha256 string, formatted_chars long")
+    return said.join(learned, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.coalesce("loss_chars", F.lit(0)).alias("loss_chars"),
+        F.coalesce("loss_sha256", F.lit(hashlib.sha256().hexdigest())).alias("loss_sha256"),
+        F.coalesce("formatted_chars", F.lit(0)).alias("formatted_chars"),
+    )
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     conv, state = _NONE, None
 
     def done() -> dict:
-        turns, loss = state["turns"].hexdigest(), state["loss"].hexdigest()
-        return dict(zip(names, (conv, state["n"], turns, state["loss_chars"], loss, state["chars"]), strict=True))
+        return {"conv_id": conv, "n_turns": state["n"], "turns_sha256": state["turns"].hexdigest()}
 
     for batch in batches:
         out = []
-        columns = [batch.column(n).to_pylist() for n in ("conv_id", "segment", "start", "loss_start", "loss_end")]
-        for conv_id, segment, start, loss_start, loss_end in zip(*columns, strict=True):
+        columns = [batch.column(n).to_pylist() for n in ("conv_id", "segment")]
+        for conv_id, segment in zip(*columns, strict=True):
             if conv_id != conv:
                 if state:
                     out.append(done())
-                conv, state = conv_id, {"turns": hashlib.sha256(), "loss": hashlib.sha256(), "n": 0, "loss_chars": 0, "chars": 0}
+                conv, state = conv_id, {"turns": hashlib.sha256(), "n": 0}
             parsed = SEGMENT.fullmatch(segment)
             state["turns"].update(f"{unescape_role(parsed[1])}\n{unescape_text(parsed[2])}\n".encode())
             state["n"] += 1
-            state["chars"] += len(segment)
-            if loss_start is not None:
-                reply = unescape_text(segment[loss_start - start : loss_end - start])
-                state["loss"].update(reply.encode())
-                state["loss_chars"] += len(reply)
         if out:
-            yield pa.RecordBatch.from_pylist(out, DIGESTS)
+            yield pa.RecordBatch.from_pylist(out, TURNS)
+    if state:
+        yield pa.RecordBatch.from_pylist([done()], TURNS)
+
+
+#: What may be the begin of an escaped string that the next slice goes on with.
+OPEN = re.compile(r"<\\*\Z")
+
+
+def _digest_replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    conv, place, state = _NONE, None, None
+
+    def add(text: str) -> None:
+        text = unescape_text(text)
+        state["loss"].update(text.encode())
+        state["loss_chars"] += len(text)
+
+    def done() -> dict:
+        add(state["open"])
+        return {"c": conv, "loss_chars": state["loss_chars"], "loss_sha256": state["loss"].hexdigest(), "formatted_chars": state["chars"]}
+
+    for batch in batches:
+        out = []
+        columns = [batch.column(n).to_pylist() for n in ("conv_id", "place", "reply", "chars")]
+        for conv_id, at, reply, chars in zip(*columns, strict=True):
+            if conv_id != conv:
+                if state:
+                    out.append(done())
+                conv, place, state = conv_id, at, {"loss": hashlib.sha256(), "loss_chars": 0, "chars": 0, "open": ""}
+            elif at != place:
+                add(state["open"])
+                place, state["open"] = at, ""
+            state["chars"] += chars
+            text = state["open"] + reply
+            cut = found.start() if (found := OPEN.search(text)) else len(text)
+            add(text[:cut])
+            state["open"] = text[cut:]
+        if out:
+            yield pa.RecordBatch.from_pylist(out, REPLIES)
     if state:
-        yield pa.RecordBatch.from_pylist([done()], DIGESTS)
+        yield pa.RecordBatch.from_pylist([done()], REPLIES)
 
 
-DIGESTS = pa.schema(
-    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
-)
+TURNS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string())])
+REPLIES = pa.schema([("c", pa.int64()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])

@@ -249,6 +249,30 @@ def test_chat_round_trip(spark):
     assert targets.count() == 5
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 16])
+def test_every_target_is_an_example(spark, monkeypatch, size):
+    monkeypatch.setattr(chat, "SLICE", size)
+    said = [(*t[:3], t[3] and t[3][:40]) for t in TURNS]
+    segments = chat.format_turns(spark.createDataFrame(said, "conv_id long, turn long, role string, text string")).cache()
+    want, whole = {}, {}
+    for r in segments.orderBy("conv_id", "place").collect():
+        if r["loss_start"] is not None:
+            reply = r["segment"][r["loss_start"] - r["start"] : r["loss_end"] - r["start"]]
+            want[r["conv_id"], r["place"]] = (whole.get(r["conv_id"], "") + "<|im_start|>assistant\n", reply)
+        whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["segment"]
+    rows = chat.examples(segments).orderBy("conv_id", "place", "slice").collect()
+    got = {}
+    for r in rows:
+        assert 0 < len(r["context"] + r["reply"]) <= size
+        before = got.get((r["conv_id"], r["place"]), ("", ""))
+        got[r["conv_id"], r["place"]] = (before[0] + r["context"], before[1] + r["reply"])
+    assert got == want and len(want) == 5
+    assert size < 1 << 16 or len(rows) == 5
+    read = chat.read_back(segments).collect()
+    assert sorted((tuple(r)[:5] for r in read), key=repr) == sorted(brute_chat(said), key=repr)
+    assert sum(r["formatted_chars"] for r in read) == sum(len(a + b) for a, b in want.values())
+
+
 @settings(max_examples=500, deadline=None)
 @given(st.text("<\\|im_end>\nn", max_size=14))
 def test_escapes_come_back(text):
