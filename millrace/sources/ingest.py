@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -13,6 +14,9 @@ from millrace.sources.load_log import Watermark
 from millrace.sources.scans import scan_json
 from millrace.sources.writers import write_table
 
+# Characters of a path that a reader would take for a pattern.
+GLOB = re.compile(r"[\[\]{}*?\\]")
+
 
 def stamp_load(df: DataFrame, seq_date) -> DataFrame:
     """Add the load time and its year and month."""
@@ -33,20 +37,26 @@ def ingest_since(
     partition_by: Sequence[str] = ("YEAR",),
     files: int | None = None,
 ) -> datetime:
-    """Append the files newer than the table's mark and move the mark to the newest of them.
+    """Append the files that are not loaded yet and move the mark to the newest of them.
 
-    Rows carry the modification time of their file, or ``loaded_at`` when given. Returns the new mark. A load that
-    dies between the append and the mark is repeated; readers take the latest row per key, so a repeat is harmless.
+    A file is known by its path and modification time, and ``marks`` keeps what is loaded: one that arrives late with
+    an older time is loaded, and so is one delivered again under the same name with another time. Files up to the
+    default of ``marks`` are left alone. Rows carry the modification time of their file, or ``loaded_at`` when given.
+    Returns the new mark. A load that dies between the append and the log is repeated, and so are files loaded before
+    there was a list of them; readers take the latest row per key, so a repeat is harmless.
     """
     since = marks.get(table)
-    raw = scan_json(spark, source, schema, modified_after=since)
-    file_time = F.col("_metadata.file_modification_time")
-    newest = raw.agg(F.max(file_time).alias("t")).first()["t"]
-    if newest is None:
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    files_now = listing.select("path", F.col("modificationTime").alias("modified")).filter(F.col("modified") > F.lit(marks.default))
+    # Only what is new goes to the driver, which lists all files anyhow.
+    found = files_now.join(marks.loaded(table), ["path", "modified"], "left_anti").collect()
+    if not found:
         return since
-    stamp = file_time if loaded_at is None else F.lit(loaded_at)
-    # Bounded above by the mark that will be logged: files that arrive meanwhile are left to the next run.
-    fresh = stamp_load(raw.filter(file_time <= F.lit(newest)), stamp).withColumnsRenamed(dict(rename or {}))
+    raw = scan_json(spark, [GLOB.sub(r"\\\g<0>", r["path"]) for r in found], schema)
+    stamp = F.col("_metadata.file_modification_time") if loaded_at is None else F.lit(loaded_at)
+    fresh = stamp_load(raw, stamp).withColumnsRenamed(dict(rename or {}))
     write_table(fresh, target, partition_by, mode="append", files=files)
+    marks.add_loaded(table, [(r["path"], r["modified"]) for r in found])
+    newest = max(since, *[r["modified"] for r in found])
     marks.advance(table, newest)
     return newest

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,9 @@ from millrace.sources.scans import scan_or_empty
 LOG_SCHEMA = T.StructType(
     [T.StructField("table", T.StringType()), T.StructField("last_modified", T.TimestampType())]
 )
+FILE_SCHEMA = T.StructType(
+    [T.StructField("table", T.StringType()), T.StructField("path", T.StringType()), T.StructField("modified", T.TimestampType())]
+)
 
 
 def latest_marks(log: DataFrame, table: str = "table", ts: str = "last_modified") -> DataFrame:
@@ -21,11 +25,12 @@ def latest_marks(log: DataFrame, table: str = "table", ts: str = "last_modified"
 
 
 class Watermark:
-    """Load marks kept at ``path``; a table without a mark starts at ``default``."""
+    """Load marks kept at ``path``; a table without a mark starts at ``default``. Loaded files are kept beside it."""
 
     def __init__(self, spark: SparkSession, path: str, default: datetime) -> None:
         self.spark = spark
         self.path = path
+        self.files = path.rstrip("/") + "_files"
         self.default = default
 
     def log(self) -> DataFrame:
@@ -40,3 +45,11 @@ class Watermark:
         """Append a mark; marks never move back because ``get`` takes the newest."""
         row = self.spark.createDataFrame([(table, mark)], LOG_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path)
+
+    def loaded(self, table: str) -> DataFrame:
+        """Path and modification time of every file that was loaded."""
+        return scan_or_empty(self.spark, self.files, FILE_SCHEMA).filter(F.col("table") == table).select("path", "modified")
+
+    def add_loaded(self, table: str, files: Sequence[tuple[str, datetime]]) -> None:
+        rows = self.spark.createDataFrame([(table, *f) for f in files], FILE_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(self.files)

@@ -138,6 +138,17 @@ def test_batch_ingest_twice_adds_nothing(spark, tmp_path):
     assert sorted(r["a"] for r in spark.read.parquet(bronze).collect()) == ["1", "3"]
 
 
+def test_batch_ingest_takes_late_and_repeated_files(spark, tmp_path):
+    landing, bronze = tmp_path / "in", str(tmp_path / "out")
+    marks = Watermark(spark, str(tmp_path / "log"), datetime(2024, 1, 1))
+    newest = datetime(2024, 2, 1, 6)
+    for name, value, at in (("a", "1", newest), ("same [x]", "2", newest), ("older", "3", datetime(2024, 1, 15)), ("a", "4", datetime(2024, 1, 20))):
+        put(landing, f"{name}.json", f'{{"a": "{value}", "b": "x"}}\n', at)
+        for _ in range(2):
+            assert ingest_since(spark, "t", str(landing), bronze, SCHEMA, marks) == newest
+    assert sorted(r["a"] for r in spark.read.parquet(bronze).collect()) == ["1", "2", "3", "4"]
+
+
 def test_stream_ingest_is_idempotent_and_sets_bad_rows_aside(spark, tmp_path):
     landing, bronze, bad, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "bad"), str(tmp_path / "cp")
     put(landing, "a.json", '{"a": "1", "b": "x"}\n{"a": "2"\n', datetime(2024, 2, 1, 6))
