@@ -38,8 +38,8 @@ def imports_silver(
     """
     typed = cast_columns(df, [quantity, value], [day])
     sums = typed.groupBy(*text, day, loaded).agg(
-        F.sum(F.col(quantity).cast("decimal(18,4)")).cast("double").alias(quantity),
-        F.sum(F.col(value).cast("decimal(18,4)")).cast("double").alias(value),
+        F.sum(F.col(quantity).cast("decimal(38,12)")).cast("double").alias(quantity),
+        F.sum(F.col(value).cast("decimal(38,12)")).cast("double").alias(value),
     )
     keys = [*text, day, *([quantity, value] if keep_revisions else [])]
     newest = latest_by_key(sums, keys, [loaded])
@@ -57,7 +57,7 @@ def imports_cube(
     codes = {c: to_number(c) for c in numbers if c in df.columns}
     dated = df.withColumns({"MES": F.month(day), "DIA": F.dayofmonth(day), **codes})
     sums = dated.groupBy(*ids).agg(
-        (F.sum(F.col(value).cast("decimal(18,4)")).cast("double") / 1000).alias(value),
-        F.sum(F.col(quantity).cast("decimal(18,4)")).cast("double").alias(quantity),
+        (F.sum(F.col(value).cast("decimal(38,12)")).cast("double") / 1000).alias(value),
+        F.sum(F.col(quantity).cast("decimal(38,12)")).cast("double").alias(quantity),
     )
     return sums if grain == "day" else sums.unpivot(ids, [value, quantity], "UNIDAD", quantity)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.reshape import months_from
-from millrace.plans.imports import imports_silver
+from millrace.plans.imports import imports_cube, imports_silver
 from millrace.plans.inventory import (
     SERIES,
     classify_stock,
@@ -332,6 +332,15 @@ def test_weekly_report_across_the_year_end(spark):
     assert row["attainment"] == 40.0
 
 
+def test_imports_sum_small_and_large_values(spark):
+    rows = [("a", "2024-01-01", 1, "0.00004", "200000000000000")] * 50 + [("b", "2024-01-01", 1, "0.00004", "1")]
+    df = spark.createDataFrame(rows, "T string, FECHA_PAGO string, SEQ_DATE int, CANTIDAD string, VALOR_COMERCIAL string")
+    silver = imports_silver(df, text=["T"])
+    assert sorted((r["T"], r["CANTIDAD"], r["VALOR_COMERCIAL"]) for r in silver.collect()) == [("a", 0.002, 1e16), ("b", 0.00004, 1.0)]
+    (row,) = imports_cube(silver, "day", columns=["ANIO", "DIA"]).collect()
+    assert (row["CANTIDAD"], row["VALOR_COMERCIAL"]) == (0.00204, float(10**16 + 1) / 1000)
+
+
 def test_revised_imports_replace_or_stay(spark):
     rows = [("r", "2024-01-01", 1, "5", "10"), ("r", "2024-01-01", 2, "6", "10"), ("", "2024-01-02", 1, "1", "NA")]
     df = spark.createDataFrame(rows, "T string, FECHA_PAGO string, SEQ_DATE int, CANTIDAD string, VALOR_COMERCIAL string")
