@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language_model, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
+from millrace.llm import chat, importance, infill, language_model, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
 from millrace.llm.common import remainder, saved
 from millrace.sources.workspace import new_path
 
@@ -164,6 +164,35 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_url_filter"] = urls.duckdb_sql(URL_RULES)
 
 
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the benchmark's words."""
+    got = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n_max=1)
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op11_importance_resampling"] = importance.duckdb_sql()
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two line ranks, put in another order and restored."""
+    got = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return got.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_in_middle"] = infill.duckdb_sql()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the corpus pipeline."""
