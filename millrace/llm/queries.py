@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, importance, infill, language_model, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
+from millrace.llm import chat, importance, infill, jaccard, language_model, packing, pieces, piecewise, quality, records, simhash, toxicity, urls
 from millrace.llm.common import remainder, saved
 from millrace.sources.workspace import new_path
 
@@ -174,6 +174,16 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op11_importance_resampling"] = importance.duckdb_sql()
 
 
+@query
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by links of 90 per cent alike sets of three-word shingles."""
+    got = jaccard.alike_documents(table(spark, sf_dir, "documents"), words=3, least=90)
+    return got.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+ORACLES["op12_jaccard_join"] = jaccard.duckdb_sql()
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two line ranks, put in another order and restored."""
