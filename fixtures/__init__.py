@@ -15,6 +15,7 @@ from fixtures import (  # noqa: F401
     reshape,
     scalars,
     scans,
+    versions,
     windows,
 )
 from fixtures.base import ORACLES, QUERIES

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from itertools import chain
 
 from pyspark.sql import functions as F
 
 from fixtures.base import AS_OF, money, number, query, table
 from millrace.functions import to_day, to_number
 from millrace.operators.columns import cast_columns
-from millrace.sources.ingest import ingest_since
-from millrace.sources.listing import list_files, new_files, zero_byte_files
+from millrace.sources.ingest import ingest_since, read_loaded
+from millrace.sources.listing import list_files, new_files, path_part, recent_files, zero_byte_files
 from millrace.sources.load_log import Watermark, latest_marks
 from millrace.sources.scans import (
     scan_dimension,
@@ -20,6 +21,7 @@ from millrace.sources.scans import (
     text_schema,
     with_source_file,
 )
+from millrace.sources.shared_files import names
 from millrace.sources.workspace import new_path
 from millrace.sources.writers import (
     export_by_recipient,
@@ -124,6 +126,31 @@ def src_new_files(spark, sf_dir):
     return files.select(folder.alias("folder")).distinct()
 
 
+@query(
+    "src_recent_files",
+    """select replace(o_orderpriority, ' ', '%20') as team, status, version from (
+      select *, dense_rank() over (partition by o_orderpriority, status order by version desc) as r
+      from (select distinct o_orderpriority, o_orderstatus as status, year(o_orderdate) as version from orders)) where r <= 2""",
+)
+def src_recent_files(spark, sf_dir):
+    # A backup tree team/version/status.json; the newest two of every file and team, read off a listing.
+    landing = new_path(spark, "backups")
+    o = table(spark, sf_dir, "orders")
+    versions = o.select("o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("version")).distinct()
+    versions = versions.withColumns({"team": F.col("o_orderpriority"), "file": F.col("o_orderstatus")})
+    write_table(versions, landing, ["team", "version", "file"])
+    listed = list_files(spark, landing).filter(F.col("name").startswith("part-"))
+    value = lambda n: F.substring_index(path_part(n), "=", -1)
+    keyed = listed.select(
+        "path",
+        F.replace(value(4), F.lit(" "), F.lit("%20")).alias("team"),
+        value(2).alias("status"),
+        F.make_timestamp(value(3).cast("int"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("modified"),
+    )
+    newest = recent_files(keyed, ["team", "status"], 2)
+    return newest.select("team", "status", F.year("modified").cast("long").alias("version"))
+
+
 @query("src_zero_byte_files", "select '_SUCCESS' as name, cast(0 as bigint) as size from orders limit 1")
 def src_zero_byte_files(spark, sf_dir):
     # The marker that Spark leaves beside a finished table is an empty file.
@@ -167,11 +194,30 @@ def _loaded(df):
     )
 
 
+def _deliver(spark, rows, landing, modified):
+    """Files ``part-0.json``, ``part-1.json``, ... in the landing folder, in place of older ones with the same names."""
+    jvm, made = spark._jvm, new_path(spark, "made")
+    rows.write.json(made)
+    fs = jvm.org.apache.hadoop.fs.Path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(landing))
+    for i, name in enumerate(n for n in names(spark, made) if n.startswith("part-")):
+        at = jvm.org.apache.hadoop.fs.Path(f"{landing}/part-{i}.json")
+        fs.delete(at, False)
+        fs.rename(jvm.org.apache.hadoop.fs.Path(f"{made}/{name}"), at)
+        fs.setTimes(at, int(modified.timestamp() * 1000), -1)
+
+
+def _deliveries(spark, sf_dir, landing):
+    """Orders in three deliveries: the second under the names of the first, the third with an older time."""
+    o = _order_text(spark, sf_dir)
+    for status, folder, at in (("F", "", datetime(2024, 3, 1)), ("O", "", datetime(2024, 3, 2)), ("P", "/late", datetime(2024, 2, 1))):
+        yield _deliver(spark, o.filter(F.col("o_orderstatus") == status), landing + folder, at)
+
+
 @query("src_ingest_stream", INGEST_SQL)
 def src_ingest_stream(spark, sf_dir):
     source, target, checkpoint = (new_path(spark, n) for n in ("landing", "bronze", "progress"))
-    _order_text(spark, sf_dir).write.json(source)
-    for _ in range(2):  # the second run finds nothing new
+    for _ in chain(_deliveries(spark, sf_dir, source), [None]):  # the last run finds nothing new
         ingest_incremental(
             spark, source, target, text_schema(ORDER_TEXT), checkpoint,
             rename={"o_orderstatus": "status"}, loaded_at=datetime(2024, 3, 1, 6),
@@ -182,14 +228,13 @@ def src_ingest_stream(spark, sf_dir):
 @query("src_ingest_batch", INGEST_SQL)
 def src_ingest_batch(spark, sf_dir):
     source, target, log = (new_path(spark, n) for n in ("landing", "bronze", "log"))
-    _order_text(spark, sf_dir).write.json(source)
     marks = Watermark(spark, log, datetime(2000, 1, 1))
-    for _ in range(2):
+    for _ in chain(_deliveries(spark, sf_dir, source), [None]):
         ingest_since(
             spark, "orders", source, target, text_schema(ORDER_TEXT), marks,
             rename={"o_orderstatus": "status"}, loaded_at=datetime(2024, 3, 1, 6), files=8,
         )
-    return _loaded(spark.read.parquet(target))
+    return _loaded(read_loaded(spark, "orders", target, marks))
 
 
 @query(

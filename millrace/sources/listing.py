@@ -1,71 +1,92 @@
 """Recursive file listing as a table.
 
-Spark's file sources skip empty files, so an audit of zero-byte files needs a listing of its own. It is a Python data
-source: the driver lists only the top level of the root, and each task walks one of its folders.
+Spark's file sources skip empty files and list on the driver, so an audit of files needs a listing of its own. It goes
+in rounds: every task lists some folders and the folders below them, up to a bound, and what is left is dealt anew to
+all tasks. So a tree that hangs on one folder spreads like any other, and a deep chain does not take a round per level.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator, Sequence
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from millrace.operators.snapshots import top_n
-
-SCHEMA = "path string, name string, size bigint, modified timestamp"
-
-
-class Folder(InputPartition):
-    def __init__(self, path: str, recursive: bool) -> None:
-        self.path = path
-        self.recursive = recursive
-
-
-def _entries(root: str, path: str | None, recursive: bool):
+from millrace.sources.workspace import new_path
+
+# Folders that a task lists before it hands the rest back.
+FOLDERS = 256
+ROWS = pa.schema(
+    [
+        ("path", pa.string()),
+        ("name", pa.string()),
+        ("size", pa.int64()),
+        ("modified", pa.timestamp("us", tz="UTC")),
+        ("folder", pa.bool_()),
+    ]
+)
+
+
+def open_folder(root: str):
+    """Arrow file system, path of a folder in it, and what to put before such paths to have Spark's form again."""
     from pyarrow import fs
 
     if root.startswith("file:/") and not root.startswith("file://"):
-        root = root[len("file:"):]
+        root = root.replace("file:", "file://", 1)
     system, base = fs.FileSystem.from_uri(root)
-    return system.get_file_info(fs.FileSelector(base if path is None else path, recursive=recursive))
-
-
-class FileListingReader(DataSourceReader):
-    def __init__(self, root: str) -> None:
-        self.root = root
-
-    def partitions(self) -> Sequence[InputPartition]:
-        top = _entries(self.root, None, recursive=False)
-        return [Folder("", False), *[Folder(e.path, True) for e in top if not e.is_file]]
+    front = root.rstrip("/")
+    front = front[: len(front) - len(base.rstrip("/"))] if front.endswith(base.rstrip("/")) else ""
+    return system, base, front
 
-    def read(self, partition: Folder) -> Iterator[tuple]:
-        for e in _entries(self.root, partition.path or None, partition.recursive):
-            if e.is_file:
-                modified = datetime.fromtimestamp(e.mtime_ns / 1e9, tz=timezone.utc)
-                yield (e.path, e.base_name, e.size, modified)
-
-
-class FileListing(DataSource):
-    """``spark.read.format("file_listing").load(root)``: path, name, size and modification time of every file."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "file_listing"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> FileListingReader:
-        return FileListingReader(self.options["path"])
 
+def _walk(batches: Iterator[pa.RecordBatch], root: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the entries below the folders of the batches; folders that are still to be listed are marked."""
+    from pyarrow import fs
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below a folder (local path or any URI that Arrow's file systems know)."""
-    spark.dataSource.register(FileListing)
-    return spark.read.format("file_listing").load(root)
+    system, _, front = open_folder(root)
+    listed = 0
+    for batch in batches:
+        queue = deque(batch.column("path").to_pylist())
+        while queue:
+            if listed >= most:
+                rest = [{"path": p, "name": "", "size": None, "modified": None, "folder": True} for p in queue]
+                yield pa.RecordBatch.from_pylist(rest, ROWS)
+                break
+            listed += 1
+            rows = []
+            for e in system.get_file_info(fs.FileSelector(queue.popleft()[len(front):])):
+                if e.is_file:
+                    micros = e.mtime_ns // 1000
+                    rows.append({"path": front + e.path, "name": e.base_name, "size": e.size, "modified": micros, "folder": False})
+                else:
+                    queue.append(front + e.path)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, ROWS)
+
+
+def list_files(spark: SparkSession, root: str, folders_per_task: int = FOLDERS) -> DataFrame:
+    """(path, name, size, modified) of every file below a folder: a local path or any URI that Arrow's file systems know.
+
+    The listing is taken once, when this is called, and kept in the shared folder.
+    """
+    _, base, front = open_folder(root)
+    kept, rounds = new_path(spark, "listing"), 0
+    schema = "path string, name string, size bigint, modified timestamp, folder boolean"
+    frontier, count = spark.createDataFrame([(front + base,)], "path string"), 1
+    while count:
+        dealt = frontier.repartition(min(count, 8 * spark.sparkContext.defaultParallelism))
+
+        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _walk(batches, root, folders_per_task)
+
+        dealt.mapInArrow(walk, schema).write.parquet(f"{kept}/round={rounds}")
+        frontier = spark.read.schema(schema).parquet(f"{kept}/round={rounds}").filter("folder").select("path")
+        count, rounds = frontier.count(), rounds + 1
+    return spark.read.schema(schema).parquet(*[f"{kept}/round={i}" for i in range(rounds)]).filter("not folder").drop("folder")
 
 
 def new_files(spark: SparkSession, root: str, since: datetime) -> DataFrame:
@@ -81,6 +102,12 @@ def zero_byte_files(spark: SparkSession, root: str, as_of: date | None = None, w
     return empty.filter(F.col("modified").cast("date") >= F.lit(as_of - timedelta(days=within_days)))
 
 
+def path_part(n: int, path: str = "path") -> Column:
+    """The ``n``-th part of a path from its end: 1 is the file, 2 the folder it lies in; null beyond the root."""
+    parts = F.split(path, "/")
+    return F.when(F.size(parts) >= n, F.element_at(parts, -n))
+
+
 def recent_files(files: DataFrame, keys: Sequence[str], n: int = 2) -> DataFrame:
     """Newest ``n`` files per key, from a listing with the key columns added."""
     return top_n(files, keys, ["modified", "path"], n)

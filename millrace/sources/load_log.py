@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +11,10 @@ from pyspark.sql import types as T
 from millrace.sources.scans import scan_or_empty
 
 LOG_SCHEMA = T.StructType(
-    [T.StructField("table", T.StringType()), T.StructField("last_modified", T.TimestampType())]
+    [T.StructField("table", T.StringType()), T.StructField("last_modified", T.TimestampType()), T.StructField("load", T.StringType())]
 )
 FILE_SCHEMA = T.StructType(
-    [T.StructField("table", T.StringType()), T.StructField("path", T.StringType()), T.StructField("modified", T.TimestampType())]
+    [T.StructField(n, t) for n, t in (("table", T.StringType()), ("path", T.StringType()), ("modified", T.TimestampType()), ("load", T.StringType()))]
 )
 
 
@@ -25,12 +24,17 @@ def latest_marks(log: DataFrame, table: str = "table", ts: str = "last_modified"
 
 
 class Watermark:
-    """Load marks kept at ``path``; a table without a mark starts at ``default``. Loaded files are kept beside it."""
+    """Load marks kept at ``path``; a table without a mark starts at ``default``. Loaded files are kept beside it.
+
+    A load is committed by its row in the log, the last thing it writes: files and rows of a load without one do not
+    count.
+    """
 
     def __init__(self, spark: SparkSession, path: str, default: datetime) -> None:
         self.spark = spark
-        self.path = path
-        self.files = path.rstrip("/") + "_files"
+        self.path = path.rstrip("/")
+        self.files = self.path + "_files"
+        self.leases = self.path + "_leases"
         self.default = default
 
     def log(self) -> DataFrame:
@@ -41,15 +45,23 @@ class Watermark:
         row = self.log().filter(F.col("table") == table).agg(F.max("last_modified").alias("mark")).first()
         return row["mark"] or self.default
 
-    def advance(self, table: str, mark: datetime) -> None:
-        """Append a mark; marks never move back because ``get`` takes the newest."""
-        row = self.spark.createDataFrame([(table, mark)], LOG_SCHEMA)
+    def advance(self, table: str, mark: datetime, load: str | None = None) -> None:
+        """Append a mark, and with it commit a load; marks never move back because ``get`` takes the newest."""
+        row = self.spark.createDataFrame([(table, mark, load)], LOG_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path)
 
+    def loads(self, table: str) -> DataFrame:
+        """(load) of every committed load."""
+        return self.log().filter((F.col("table") == table) & F.col("load").isNotNull()).select("load").distinct()
+
     def loaded(self, table: str) -> DataFrame:
-        """Path and modification time of every file that was loaded."""
-        return scan_or_empty(self.spark, self.files, FILE_SCHEMA).filter(F.col("table") == table).select("path", "modified")
+        """Path and modification time of every file that a committed load took."""
+        files = scan_or_empty(self.spark, self.files, FILE_SCHEMA).filter(F.col("table") == table)
+        return files.join(self.loads(table), "load", "left_semi").select("path", "modified")
 
-    def add_loaded(self, table: str, files: Sequence[tuple[str, datetime]]) -> None:
-        rows = self.spark.createDataFrame([(table, *f) for f in files], FILE_SCHEMA)
-        rows.coalesce(1).write.mode("append").parquet(self.files)
+    def add_files(self, table: str, files: DataFrame, load: str) -> DataFrame:
+        """Write down the files (path, modified) of a load, and give them back as written."""
+        path = f"{self.files}/part={load}"
+        rows = files.select(F.lit(table).alias("table"), "path", "modified", F.lit(load).alias("load"))
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(FILE_SCHEMA).parquet(path)

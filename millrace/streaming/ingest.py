@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.ingest import stamp_load
+from millrace.sources.ingest import plain_paths, stamp_load
 from millrace.sources.scans import CORRUPT, json_reader
 from millrace.sources.writers import write_table
-
-
-# The source would pass over files that are older than the newest by more than this.
-NEVER_TOO_OLD = "365000d"
+from millrace.streaming.arrivals import arrivals
 
 
 def ingest_incremental(
@@ -34,24 +31,22 @@ def ingest_incremental(
 ) -> None:
     """Append every file that arrived since the last run, then stop.
 
-    The stream's checkpoint takes the place of a load log. Each micro-batch writes its own ``LOAD`` partition and
-    replaces it when the batch is repeated after a failure, so a row is never loaded twice. Rows carry the
-    modification time of their file (or ``loaded_at``); unreadable records go to ``quarantine`` with their file.
+    The stream's checkpoint takes the place of a load log. A file delivered again under its old name counts as new, and
+    so does one that comes late with an older time. Each batch of files writes its own ``LOAD`` partition and replaces
+    it when the batch is repeated after a failure, so a row is never loaded twice. Rows carry the modification time of
+    their file (or ``loaded_at``); unreadable records go to ``quarantine`` with their file. The driver holds the paths
+    of one batch at a time.
     """
-    reader = json_reader(spark.readStream, schema, multiline, False, quarantine is not None)
-    stream = (
-        reader.option("maxFilesPerTrigger", max_files_per_batch)
-        .option("maxFileAge", NEVER_TOO_OLD)
-        .json(source)
-        .select(
+    stream = arrivals(spark, source, f"{checkpoint.rstrip('/')}/arrivals", max_files_per_batch)
+
+    def load_files(number: int, paths: list[str]) -> None:
+        reader = json_reader(spark.read, schema, multiline, False, quarantine is not None)
+        rows = reader.json(plain_paths(paths)).select(
             "*",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_modification_time").alias("_file_time"),
         )
-    )
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("LOAD", F.lit(batch_id))
+        rows = rows.withColumn("LOAD", F.lit(number).cast("long"))
         if quarantine is not None:
             bad = rows.filter(F.col(CORRUPT).isNotNull())
             write_table(bad, quarantine, ["LOAD"], replace_partitions=True)
@@ -60,10 +55,12 @@ def ingest_incremental(
         good = stamp_load(rows, stamp).drop("_file", "_file_time").withColumnsRenamed(dict(rename or {}))
         write_table(good, target, [*partition_by, "LOAD"], replace_partitions=True)
 
-    query = (
-        stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def load(batch: DataFrame, _: int) -> None:
+        files = batch.select("batch", "path")
+        numbers = files.select("batch").distinct().orderBy("batch")
+        for number in [r["batch"] for r in numbers.toLocalIterator()]:
+            wanted = files.filter(F.col("batch") == number).select("path")
+            load_files(number, [r["path"] for r in wanted.toLocalIterator()])  # at most max_files_per_batch
+
+    query = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

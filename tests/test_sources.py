@@ -4,8 +4,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.sources import listing
-from millrace.sources.ingest import ingest_since
+from millrace.sources import ingest, listing
+from millrace.sources.ingest import ingest_since, read_loaded
 from millrace.sources.load_log import Watermark
 from millrace.sources.registry import (
     PURCHASING_KEYS,
@@ -31,6 +31,7 @@ from millrace.sources.writers import (
     write_manifest,
     write_table,
 )
+from millrace.streaming import ingest as stream_ingest
 from millrace.streaming.ingest import ingest_incremental
 
 SCHEMA = text_schema(["a", "b"])
@@ -86,6 +87,23 @@ def test_listing_sees_empty_and_nested_files(spark, tmp_path):
     assert listing.new_files(spark, str(tmp_path), now - timedelta(days=2)).count() == 2
 
 
+@pytest.mark.parametrize("per_task", [1, 7, 1000])
+def test_listing_spreads_uneven_trees(spark, tmp_path, per_task):
+    want = set()
+    for i in range(60):  # one folder at the top, many below it
+        want.add(str(put(tmp_path, f"top/d{i} x/f%20.json", "x" * i)))
+    chain = tmp_path
+    for i in range(12):
+        chain = chain / f"c{i}"
+    want.add(str(put(chain, "deep.json", "")))
+    (tmp_path / "empty").mkdir()
+    got = listing.list_files(spark, f"file://{tmp_path}", per_task).collect()
+    assert {r["path"] for r in got} == {f"file://{p}" for p in want} and len(got) == len(want)
+    assert {(r["name"], r["size"], r["modified"]) for r in got} == {
+        (os.path.basename(p), os.path.getsize(p), datetime.fromtimestamp(os.stat(p).st_mtime_ns // 1000 / 1e6)) for p in want
+    }
+
+
 def test_recent_files_keeps_the_newest(spark, tmp_path):
     for i in range(4):
         put(tmp_path, f"v{i}/team.csv", "x", datetime(2024, 1, 1 + i))
@@ -131,11 +149,11 @@ def test_batch_ingest_twice_adds_nothing(spark, tmp_path):
 
     run()
     run()
-    got = spark.read.parquet(bronze)
+    got = read_loaded(spark, "t", bronze, marks)
     assert [(r["a"], r["client"], r["YEAR"], r["MONTH"]) for r in got.collect()] == [("1", "x", 2024, 2)]
     put(landing, "c.json", '{"a": "3", "b": "z"}\n', datetime(2024, 2, 1, 7))
     assert run() == datetime(2024, 2, 1, 7)
-    assert sorted(r["a"] for r in spark.read.parquet(bronze).collect()) == ["1", "3"]
+    assert sorted(r["a"] for r in read_loaded(spark, "t", bronze, marks).collect()) == ["1", "3"]
 
 
 def test_batch_ingest_takes_late_and_repeated_files(spark, tmp_path):
@@ -146,7 +164,50 @@ def test_batch_ingest_takes_late_and_repeated_files(spark, tmp_path):
         put(landing, f"{name}.json", f'{{"a": "{value}", "b": "x"}}\n', at)
         for _ in range(2):
             assert ingest_since(spark, "t", str(landing), bronze, SCHEMA, marks) == newest
-    assert sorted(r["a"] for r in spark.read.parquet(bronze).collect()) == ["1", "2", "3", "4"]
+    assert sorted(r["a"] for r in read_loaded(spark, "t", bronze, marks).collect()) == ["1", "2", "3", "4"]
+
+
+def test_a_load_that_died_is_not_seen_and_its_files_come_again(spark, tmp_path, monkeypatch):
+    landing, bronze = tmp_path / "in", str(tmp_path / "out")
+    marks = Watermark(spark, str(tmp_path / "log"), datetime(2024, 1, 1))
+    for i in range(7):
+        put(landing, f"f{i}.json", f'{{"a": "{i}", "b": "x"}}\n', datetime(2024, 2, 1, i))
+
+    def run(**more):
+        return ingest_since(spark, "t", str(landing), bronze, SCHEMA, marks, files_per_read=2, **more)
+
+    for dies in (2, 4):  # in the middle of the rows, then between the rows and the log
+        writes = []
+
+        def write(*args, dies=dies, writes=writes, **kwargs):
+            writes.append(1)
+            if len(writes) == dies:
+                raise RuntimeError("lost")
+            write_table(*args, **kwargs)
+
+        with monkeypatch.context() as m:
+            m.setattr(ingest, "write_table", write)
+            m.setattr(Watermark, "advance", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                run()
+        assert writes
+    assert marks.get("t") == datetime(2024, 1, 1)
+    assert run() == run() == datetime(2024, 2, 1, 6)
+    assert sorted(r["a"] for r in read_loaded(spark, "t", bronze, marks).collect()) == list("0123456")
+    assert spark.read.parquet(bronze).count() > 7  # what the dead loads wrote is there, and not seen
+
+
+def test_a_lease_keeps_a_second_loader_out(spark, tmp_path):
+    marks = Watermark(spark, str(tmp_path / "log"), datetime(2024, 1, 1))
+    put(tmp_path / "in", "f.json", '{"a": "1", "b": "x"}\n', datetime(2024, 2, 1))
+    put(tmp_path, "log_leases/t", "another loader")
+
+    def run(**more):
+        return ingest_since(spark, "t", str(tmp_path / "in"), str(tmp_path / "out"), SCHEMA, marks, **more)
+
+    with pytest.raises(FileExistsError, match="another loader"):
+        run()
+    assert run(take_over=True) == run() == datetime(2024, 2, 1)
 
 
 def test_stream_ingest_is_idempotent_and_sets_bad_rows_aside(spark, tmp_path):
@@ -165,6 +226,46 @@ def test_stream_ingest_is_idempotent_and_sets_bad_rows_aside(spark, tmp_path):
     assert [r["_corrupt_record"] for r in spark.read.parquet(bad).collect()] == ['{"a": "2"']
 
 
+def test_stream_takes_files_delivered_again_and_late(spark, tmp_path):
+    landing, bronze, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    newest = datetime(2024, 2, 1, 6)
+    for name, value, at in (("a", "1", newest), ("same [x]", "2", newest), ("older", "3", datetime(2024, 1, 15)), ("a", "4", datetime(2024, 1, 20))):
+        put(landing, f"sub/{name}.json", f'{{"a": "{value}", "b": "x"}}\n', at)
+        put(landing, "_hidden/x.json", '{"a": "hidden"}')
+        for _ in range(2):
+            ingest_incremental(spark, f"file://{landing}", bronze, SCHEMA, progress)
+    got = spark.read.parquet(bronze).collect()
+    assert sorted((r["a"], r["LOAD"]) for r in got) == [("1", 1), ("2", 2), ("3", 3), ("4", 4)]
+
+
+def test_stream_that_died_repeats_nothing(spark, tmp_path, monkeypatch):
+    landing, bronze, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    for i in range(5):
+        put(landing, f"f{i}.json", f'{{"a": "{i}", "b": "x"}}\n', datetime(2024, 2, 1, i))
+
+    def run():
+        ingest_incremental(spark, str(landing), bronze, SCHEMA, progress, max_files_per_batch=2)
+
+    for dies in (2, 3):
+        writes = []
+
+        def write(*args, dies=dies, writes=writes, **kwargs):
+            write_table(*args, **kwargs)
+            writes.append(1)
+            if len(writes) == dies:
+                raise RuntimeError("lost")
+
+        with monkeypatch.context() as m:
+            m.setattr(stream_ingest, "write_table", write)
+            with pytest.raises(Exception, match="lost"):
+                run()
+        put(landing, f"late{dies}.json", f'{{"a": "late{dies}", "b": "x"}}\n', datetime(2024, 1, 1))
+    run()
+    run()
+    got = sorted(r["a"] for r in spark.read.parquet(bronze).collect())
+    assert got == ["0", "1", "2", "3", "4", "late2", "late3"]
+
+
 def test_old_files_are_not_passed_over(spark, tmp_path):
     landing, bronze, progress = tmp_path / "landing", str(tmp_path / "bronze"), str(tmp_path / "progress")
     for at, name in ((datetime(2024, 2, 1), "a"), (datetime(1995, 2, 1), "b")):
