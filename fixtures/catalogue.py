@@ -30,26 +30,26 @@ def _texts(p):
 
 
 def _master(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_partkey > 0")
-    lines = table(spark, sf_dir, "lineitem").filter("l_partkey > 0")
+    p = table(spark, sf_dir, "part")
+    lines = table(spark, sf_dir, "lineitem")
     return p, lines
 
 
 @query(
     "biz_article_catalogue",
     f"""with pl as (select l_partkey::varchar as material, l_returnflag as plant, l_suppkey as planner_code, l_linestatus as abc,
-      concat('G', l_linenumber) as buying_group from lineitem where l_partkey > 0
+      concat('G', l_linenumber) as buying_group from lineitem
       qualify row_number() over (partition by l_partkey, l_returnflag order by {ORDER_SQL}) = 1),
     base as (select p_partkey::varchar as material, upper(p_type) as material_type, 'PC' as unit, upper(p_brand) as material_group, pl.plant,
       pl.planner_code::varchar as planner_code, upper(pl.buying_group) as buying_group, pl.abc, format('{{:,.2f}}', p_retailprice) as standard_price,
       format('{{:,.2f}}', p_retailprice * 2) as variable_price, upper(p_name) as text, upper(p_brand) as fiscal_code,
       upper(p_type) as waybill_code, upper(s_name) as planner, case when p_brand <> 'Brand#9' then 'GROUP ' || upper(p_brand) end as group_name
       from part left join pl on pl.material = p_partkey::varchar
-      left join supplier on s_suppkey = pl.planner_code and pl.plant = 'A' where p_partkey > 0),
+      left join supplier on s_suppkey = pl.planner_code and pl.plant = 'A'),
     listed as (select base.*, case when plant = 'A' and p_size <= 25 then p_type end as system,
       case when plant = 'A' and p_size <= 25 then p_brand end as line from base join part on p_partkey::varchar = material),
     o as (select case when l_returnflag = 'R' then ' ' when l_linestatus = 'O' then concat('X', l_suppkey) else l_partkey::varchar end as m,
-      l_returnflag as plant, concat('G', l_linenumber) as grp from lineitem where l_partkey > 0),
+      l_returnflag as plant, concat('G', l_linenumber) as grp from lineitem),
     svc as (select distinct 'SERVICE' as material, plant, grp as material_group, concat('SERVICE-', grp) as material_id from o where m = ' '),
     mats as (select distinct m as material, plant from o where m <> ' '),
     extra as (select * from mats where (material, plant) not in (select (material, plant) from listed where plant is not null)),
@@ -107,7 +107,7 @@ def biz_article_catalogue(spark, sf_dir):
 @query(
     "biz_sales_catalogue",
     f"""with so as (select l_partkey::varchar as material, case l_returnflag when 'A' then 'MI' when 'N' then 'ME' else 'MO' end as channel,
-      l_suppkey as line_id, concat('9', l_linenumber) as status from lineitem where l_partkey > 0
+      l_suppkey as line_id, concat('9', l_linenumber) as status from lineitem
       qualify row_number() over (partition by l_partkey, l_returnflag order by {ORDER_SQL}) = 1)
     select so.material, so.channel, so.line_id, so.status, upper(s_name) as line_name, case when p_size % 4 = 0 then 'V1' when p_size % 4 = 1 then 'X0' else 'Z1' end as planning_type,
     'PC' as unit, format('{{:,.3f}}', p_size * 100.0) as gross_weight, format('{{:,.3f}}', p_size * 1.0) as net_weight,
@@ -192,7 +192,7 @@ PRICES = """with cat as (select p_partkey as material, ['99','97','95','93','10'
       from (select * from con where contains(customer, '77') qualify row_number() over (partition by customer, material order by valid_from desc, condition_no desc) = 1) c
       join (select * from wanted where channel = 'MI') w on w.material = c.material left join am using (condition_no)
       left join supplier on lpad(s_suppkey::varchar, 10, '0') = customer)
-    select * replace (regexp_replace(customer, '^0{{2,}}', '') as customer, format('{{:,.2f}}', amount) as amount)
+    select * replace (regexp_replace(customer, '^0{{2,}}(.)', '\\1') as customer, format('{{:,.2f}}', amount) as amount)
     from (select * from ab union all by name select * from ml)""",
 )
 def biz_price_list(spark, sf_dir):

@@ -46,13 +46,13 @@ def _history(spark, sf_dir):
     version = F.concat_ws("-", day, F.lpad(F.col("l_orderkey").cast("string"), 9, "0"), "l_linenumber", "l_suppkey",
                           F.col("l_quantity").cast("int"), F.date_format("l_shipdate", "yyyyMMdd"))
     return _ordered(spark, sf_dir).select(
-        "item", pad_key(F.col("o_custkey") % 10000).alias("ship_to"), F.date_format("l_shipdate", "yyyy-MM").alias("target"),
+        "item", pad_key("o_custkey").alias("ship_to"), F.date_format("l_shipdate", "yyyy-MM").alias("target"),
         F.when(F.col("l_linestatus") == "F", "U_PRONO").otherwise("IMP_PRONO").alias("kind"),
         F.col("l_quantity").alias("value"), version.alias("version"),
     )
 
 
-HISTORY = f"""hi as (select l_partkey as item, lpad((o_custkey % 10000)::varchar, 10, '0') as ship_to, {MONTH} as target, l_quantity as units,
+HISTORY = f"""hi as (select l_partkey as item, lpad(o_custkey::varchar, 10, '0') as ship_to, {MONTH} as target, l_quantity as units,
       concat_ws('-', strftime(o_orderdate, '%Y-%m-%d'), lpad(l_orderkey::varchar, 9, '0'), l_linenumber, l_suppkey, l_quantity::int, strftime(l_shipdate, '%Y%m%d')) as version
       from lineitem join orders on o_orderkey = l_orderkey where l_linestatus = 'F' and strftime(o_orderdate, '%Y-%m') = '1998-05')"""
 SALES = f"""sa as (select l_partkey as item, o_custkey as customer, date_trunc('month', o_orderdate)::date as month,
@@ -116,7 +116,7 @@ def _amounts(spark, sf_dir):
 
 UNITS = f"""am as (select l_partkey as item, {MONTH} as month, cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount
       from lineitem join orders on o_orderkey = l_orderkey where date_trunc('month', o_orderdate) = timestamp '1998-06-01' group by 1, 2),
-    pf as (select am.item, 'MI' as channel, am.month, ceil(coalesce(amount / nullif(least(coalesce(list_price * factor, 0), coalesce(list_price * factor * discount, 0)), 0), amount / list_price))::int as units,
+    pf as (select am.item, 'MI' as channel, am.month, ceil(coalesce(amount / nullif(least(coalesce(list_price * factor, 0), coalesce(list_price * factor * discount, 0)), 0), amount / list_price))::bigint as units,
       amount / 1000 as thousands from am join ca using (item) where list_price is not null)"""
 
 
@@ -207,7 +207,7 @@ def _clients(spark, sf_dir):
         F.when(F.col("c_nationkey") == 6, "INACTIVE").otherwise(F.concat(F.lit("R"), nation)).alias("region"),
         F.concat(F.lit("A"), nation).alias("advisor"), nation.alias("country"), F.col("c_mktsegment").alias("state"),
         pad_key(F.col("c_custkey") % 10000).alias("group_id"), F.concat(F.lit("G"), (F.col("c_custkey") % 10000).cast("string")).alias("group_name"),
-        pad_key(F.col("c_custkey") % 10000).alias("ship_to"),
+        pad_key("c_custkey").alias("ship_to"),
     )
 
 
@@ -215,19 +215,18 @@ def _clients(spark, sf_dir):
     "biz_ladder_export",
     f"""with {HISTORY}, {SALES}, cl as (select c_custkey as customer, case c_custkey % 3 when 0 then 'ME' else 'MO' end as channel, concat('Z', c_nationkey % 3) as region_id,
       case when c_nationkey = 6 then 'INACTIVE' else concat('R', c_nationkey) end as region, concat('A', c_nationkey) as advisor, c_nationkey::varchar as country, c_mktsegment as state,
-      lpad((c_custkey % 10000)::varchar, 10, '0') as group_id, concat('G', c_custkey % 10000) as group_name, lpad((c_custkey % 10000)::varchar, 10, '0') as ship_to from customer),
+      lpad((c_custkey % 10000)::varchar, 10, '0') as group_id, concat('G', c_custkey % 10000) as group_name, lpad(c_custkey::varchar, 10, '0') as ship_to from customer),
     ac as (select advisor, country, region_id, region, state, group_id, ship_to, item, channel, {ACTUALS} from sa join cl using (customer, channel)
       where channel <> 'MI' and region_id = 'Z0' and region <> 'INACTIVE' group by 1, 2, 3, 4, 5, 6, 7, 8, 9 having count(*) filter (month >= date '{PAST[0]}' and month < date '1998-06-01') > 0),
     pr as (select item, ship_to, target, units from hi qualify row_number() over (partition by item, ship_to, target order by version desc) = 1),
     fo as (select item, lpad(regexp_extract(ship_to, '0*(\\d{{4}})$', 1), 10, '0') as group_id, ship_to, {FORECASTS} from pr where target >= date '1998-01-01' group by 1, 2, 3),
-    nm as (select case when ltrim(group_id, '0')[1] = '3' then 'MO' else 'ME' end as nch, channel, ltrim(group_id, '0') as gid, max(group_name) as group_name from cl group by 1, 2, 3)
-    select ac.* replace (concat('rm_', ac.region) as region, concat('am_', ac.advisor) as advisor, ltrim(ac.group_id, '0') as group_id, ltrim(ac.ship_to, '0') as ship_to,
+    nm as (select case when starts_with(ltrim(group_id, '0'), '3') then 'MO' else 'ME' end as nch, channel, regexp_replace(group_id, '^0+(.)', '\\1') as gid, max(group_name) as group_name from cl group by 1, 2, 3)
+    select ac.* replace (concat('rm_', ac.region) as region, concat('am_', ac.advisor) as advisor, regexp_replace(ac.group_id, '^0+(.)', '\\1') as group_id, regexp_replace(ac.ship_to, '^0+(.)', '\\1') as ship_to,
       case when starts_with(ltrim(ac.group_id, '0'), '3') then 'MO' else 'ME' end as channel), p_name as text, case when p_size % 4 = 0 then '97' else '99' end as status,
       p_type as system, 'C' as company, p_brand as line, p_brand as line_group, 'K' as class, 'S' as segment, p_retailprice * 19.5::double as list_price, 0.0::double as stock, nm.group_name,
       {_zero(U_FORECASTS)}, {", ".join(f'0.0::double as "{m:%Y-%m} $ PRONO"' for m in AHEAD)}
     from ac join part on p_partkey = ac.item and p_size % 5 <> 0 left join fo on fo.item = ac.item and fo.group_id = ac.group_id and fo.ship_to = ac.ship_to
-    left join nm on nm.gid = ltrim(ac.group_id, '0') and nm.channel = case when starts_with(ltrim(ac.group_id, '0'), '3') then 'MO' else 'ME' end
-    where ltrim(ac.group_id, '0') <> '' and (ac.item + ltrim(ac.group_id, '0')::int) % 2 = 0""",
+    left join nm on nm.gid = regexp_replace(ac.group_id, '^0+(.)', '\\1') and nm.channel = case when starts_with(ltrim(ac.group_id, '0'), '3') then 'MO' else 'ME' end""",
 )
 def biz_ladder_export(spark, sf_dir):
     p = table(spark, sf_dir, "part")
@@ -243,12 +242,12 @@ def biz_ladder_export(spark, sf_dir):
     )
     # One price per customer group and item that the group has ever bought.
     group = (F.col("customer") % 10000).cast("string")
-    bought = _sales(spark, sf_dir).filter((F.col("item") + F.col("customer") % 10000) % 2 == 0).select(group.alias("group_id"), "item").distinct()
+    bought = _sales(spark, sf_dir).select(group.alias("group_id"), "item").distinct()
     prices = bought.join(p.select(F.col("p_partkey").alias("item"), F.col("p_retailprice").alias("list_price")), "item").withColumn("currency", F.lit("USD"))
     stock = p.select(F.col("p_partkey").alias("item"), F.lit(0.0).alias("stock"))
     prior = prior_forecast(_history(spark, sf_dir), ["item", "ship_to"], AS_OF)
     return ladder_export(
-        _sales(spark, sf_dir), clients, catalogue, prices.filter("group_id <> '0'"), owners, stock, prior, AS_OF,
+        _sales(spark, sf_dir), clients, catalogue, prices, owners, stock, prior, AS_OF,
         regions=["Z0"], exchange_rate=19.5,
     )
 

@@ -28,11 +28,11 @@ def _forecast(spark, sf_dir):
     """Forecast rows: vintage = month of the order, target = month of the shipment."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), month_start("o_orderdate").alias("vintage"))
     return _lines(spark, sf_dir).join(o, "l_orderkey").select(
-        (F.col("item") % 50).alias("item"), "vintage", F.col("month").alias("target"), F.col("l_linestatus"), F.col("l_quantity").alias("value"),
+        "item", "vintage", F.col("month").alias("target"), F.col("l_linestatus"), F.col("l_quantity").alias("value"),
     )
 
 
-FORECAST = f"""with fc as (select l_partkey % 50 as item, date_trunc('month', o_orderdate)::date as vintage, {MONTH} as target, l_linestatus, l_quantity as v
+FORECAST = f"""with fc as (select l_partkey as item, date_trunc('month', o_orderdate)::date as vintage, {MONTH} as target, l_linestatus, l_quantity as v
       from lineitem join orders on o_orderkey = l_orderkey)"""
 
 
@@ -83,8 +83,8 @@ def biz_actual_demand(spark, sf_dir):
 
 @query(
     "biz_receipts_by_month",
-    f"""{INDICATORS} select regexp_replace(material, '^0{{2,}}', '') as item, date_trunc('month', delivery_date)::date as month, unit as concept,
-    cast(sum(cast(case unit when 'AMOUNT' then local_amount else quantity end as decimal(28,4))) as double) as due_qty
+    f"""{INDICATORS} select regexp_replace(material, '^0{{2,}}(.)', '\\1') as item, date_trunc('month', delivery_date)::date as month, unit as concept,
+    cast(sum(cast(case unit when 'AMOUNT' then local_amount else quantity end::varchar as decimal(38,12))) as double) as due_qty
     from full_ind where plant = '1-URGENT' and date_trunc('month', delivery_date) <= date '1999-06-01' group by 1, 2, 3""",
 )
 def biz_receipts_by_month(spark, sf_dir):
@@ -121,13 +121,13 @@ def _series(spark, sf_dir):
     nothing = rows.drop("l_linestatus").filter(F.lit(False))
     costs = rows.select("item", "vintage", F.lit(2.0).alias("unit_cost")).distinct()
     plan = demand_models(rows.drop("l_linestatus"), nothing, costs)
-    lines = _lines(spark, sf_dir).withColumn("item", F.col("item") % 50)
+    lines = _lines(spark, sf_dir)
     flows = lines.groupBy("item", "month").agg(
         number(F.sum(F.when(F.col("l_returnflag") == "A", money("l_quantity")))).alias("due_qty"),
         number(F.sum(F.when(F.col("l_returnflag") == "N", money("l_quantity")))).alias("actual_demand"),
         number(F.sum(money("l_quantity"))).alias("stock"),
     )
-    pieces = plan.filter("concept = 'PIECES' and vintage >= '1997-06-01'").withColumnRenamed("target", "month")
+    pieces = plan.filter("concept = 'PIECES'").withColumnRenamed("target", "month")
     return pieces.join(flows, ["item", "month"], "left")
 
 
@@ -135,11 +135,11 @@ SERIES = f"""{FORECAST}, p as (select item, vintage, target, sum(v) as v from fc
       qualify row_number() over (partition by item, vintage order by target) <= 12),
     v as (select item, vintage, target as month, v as demand from p where month(vintage) <> 12
       union all select item, (vintage + interval 1 month)::date, target, v from p where month(vintage) = 11 and month(target) <> 11),
-    fl as (select l_partkey % 50 as item, {MONTH} as month, sum(l_quantity) filter (l_returnflag = 'A') as due, sum(l_quantity) filter (l_returnflag = 'N') as act,
+    fl as (select l_partkey as item, {MONTH} as month, sum(l_quantity) filter (l_returnflag = 'A') as due, sum(l_quantity) filter (l_returnflag = 'N') as act,
       sum(l_quantity) as st from lineitem group by 1, 2),
     s as (select v.item, v.vintage, v.month, 'SALES_PLAN' as model, 'PIECES' as concept, coalesce(demand, 0) as demand, coalesce(due, 0)::double as due_qty, coalesce(act, 0)::double as actual_demand,
       case when v.month = v.vintage then coalesce(st, 0) else 0 end::double as stock, coalesce(lag(demand) over w, 0) as pd, coalesce(lag(act) over w, 0)::double as pa, avg(demand) over (partition by v.item, v.vintage) as mean
-      from v left join fl on fl.item = v.item and fl.month = v.month where vintage >= date '1997-06-01' window w as (partition by v.item, v.vintage order by v.month)),
+      from v left join fl on fl.item = v.item and fl.month = v.month window w as (partition by v.item, v.vintage order by v.month)),
     l as (select *, greatest(sum(case when stock <> 0 then stock else -pa end + due_qty) over w, 0) as rl, greatest(sum(case when stock <> 0 then stock else -pd end + due_qty) over w, 0) as level,
       greatest(sum(case when stock <> 0 then stock else -pd end) over w, 0) as nl from s window w as (partition by item, vintage order by month)),
     cov as (select item, vintage, month, model, concept, demand, due_qty, actual_demand, stock, level, nl as level_without_receipts, case when month > date '1998-06-01' then level else rl end as real_level,
@@ -217,14 +217,14 @@ def biz_stock_alerts_amounts(spark, sf_dir):
 
 def _classed(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    stock = lines.filter("l_shipdate >= '2001-06-01'").groupBy(F.col("item")).agg(number(F.sum(money("l_quantity"))).alias("stock"))
+    stock = lines.groupBy("item").agg(number(F.sum(money("l_quantity"))).alias("stock"))
     target = F.when(F.col("p_size") % 7 > 1, F.col("p_size") * 4.0).when(F.col("p_size") % 7 == 1, 0.0)
     items = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item"), "p_brand", target.alias("target"))
     both = items.join(stock, "item", "left").na.fill(0, ["stock"])
     return both.select("*", F.explode(F.array(F.lit("PIECES"), F.lit("AMOUNT"))).alias("concept"))
 
 
-CLASSED = """with st as (select l_partkey as item, sum(l_quantity) as s from lineitem where l_shipdate >= timestamp '2001-06-01' group by 1),
+CLASSED = """with st as (select l_partkey as item, sum(l_quantity) as s from lineitem group by 1),
     i as (select p_partkey as item, p_brand, case when p_size % 7 > 1 then p_size * 4.0 else 0 end::double as target, coalesce(s, 0)::double as stock, concept
       from part left join st on st.item = p_partkey, (values ('PIECES'), ('AMOUNT')) c(concept)),"""
 

@@ -96,7 +96,7 @@ def biz_opening_snapshot(spark, sf_dir):
 
 FACT = """with r as (select concat('00', l_partkey) as material, l_quantity as units, cast(l_shipdate as date) as load_day,
       strftime(l_shipdate - interval 1 day, '%Y-%m') as month from lineitem)
-    select distinct regexp_replace(material, '^0{{2,}}', '') as item, units, load_day, month from r
+    select distinct regexp_replace(material, '^0{{2,}}(.)', '\\1') as item, units, load_day, month from r
     qualify load_day = {fn}(load_day) over (partition by month)"""
 
 

@@ -252,7 +252,7 @@ def biz_main_supplier(spark, sf_dir):
     ordered as (select (l_partkey + 1)::varchar as item, {MONTH} as month, cast(sum(cast(l_quantity as decimal(18,2))) as double) as ordered from lineitem group by 1, 2),
     targets as (select (p_partkey + 1)::varchar as item, p_size * 2 as t from part where p_brand = 'Brand#3')
     select items.item, max_stock, m::date as month, c.concept, ordered, receipts, supplier,
-    cast(coalesce(case when year(m) = 1998 and c.concept = 'PIECES' then t end, max_stock) as integer) as target_stock
+    cast(coalesce(case when year(m) = 1998 and c.concept = 'PIECES' then t end, max_stock) as double) as target_stock
     from items, generate_series(timestamp '1998-01-01', timestamp '1999-02-01', interval 1 month) s(m), (values ('PIECES'), ('AMOUNT')) c(concept)
     left join ordered on ordered.item = items.item and ordered.month = m left join rec on rec.item = items.item and rec.month = m and rec.concept = c.concept
     left join sup on sup.item = items.item left join targets on targets.item = items.item""",

@@ -133,7 +133,7 @@ def biz_order_lines(spark, sf_dir):
 
 @query(
     "biz_order_views",
-    f"""{INDICATORS}, s as (select *, regexp_replace(material, '^0+', '') as m from full_ind),
+    f"""{INDICATORS}, s as (select *, regexp_replace(material, '^0+(.)', '\\1') as m from full_ind),
     t as (select * replace (case when m is not null and not regexp_matches(m, '\\S') then 'SERVICE' else purchase_type end as purchase_type,
       case when m is null or not regexp_matches(m, '\\S') then 'SERVICE' else m end as material) from s),
     u as (select *, case when purchase_type = 'SERVICE' then concat(material, '-', material_group) else material end as material_id,
@@ -141,7 +141,7 @@ def biz_order_lines(spark, sf_dir):
     v as (select supplier, document, document_date, delivery_date, position, price_unit, currency, release_state, plant, planner,
       material_group, purchase_type, document_month, max(material) as material, max(material_id) as material_id, round(max(price), 2) as price
       from u where document not in (select o_orderkey from orders where o_totalprice < 1000) group by all)
-    select * replace (regexp_replace(supplier::varchar, '^0+', '') as supplier), p_name as material_text from v
+    select * replace (regexp_replace(supplier::varchar, '^0+(.)', '\\1') as supplier), p_name as material_text from v
     left join (select p_partkey::varchar as pk, p_name from part) on pk = material_id and plant = '1-URGENT'
     qualify row_number() over (partition by document, position, material, material_id order by delivery_date desc nulls last, price desc) = 1""".replace(
         "select * replace (regexp_replace(supplier", "select v.* replace (regexp_replace(supplier"
@@ -156,7 +156,7 @@ def biz_order_views(spark, sf_dir):
     f"""with live as (select * from {LATEST} where l_linestatus = 'O' and l_returnflag <> 'R'),
     n as (select l_orderkey, l_linenumber, count(*) as n from lineitem where l_suppkey % 2 = 0 group by 1, 2),
     j as (select l_orderkey as requisition, l_linenumber as position, l_partkey::varchar as material,
-      regexp_replace(l_suppkey::varchar, '^0+', '') as supplier, 'PC' as unit_of_measure, s_name as planner,
+      regexp_replace(l_suppkey::varchar, '^0+(.)', '\\1') as supplier, 'PC' as unit_of_measure, s_name as planner,
       strftime(l_shipdate, '%Y-%m') as month, coalesce(n, 1) as k, cast(l_quantity as decimal(18,2)) as q,
       cast(l_extendedprice as decimal(18,2)) as v, cast(l_tax as decimal(18,2)) as p
       from live left join supplier on s_suppkey = l_suppkey and s_suppkey % 3 = l_suppkey % 2

@@ -23,13 +23,14 @@ from millrace.functions import (
 
 @query(
     "sca_strip_zeros",
-    """select p_partkey, regexp_replace(k, '^0+', '') as any_zero, regexp_replace(k, '^0{2,}', '') as two_zeros
-    from (select p_partkey, concat(repeat('0', cast(p_partkey % 4 as integer)), cast(p_size as varchar), 'A') as k from part)""",
+    """select p_partkey, regexp_replace(k, '^0+(.)', '\\1') as any_zero, regexp_replace(k, '^0{2,}(.)', '\\1') as two_zeros
+    from (select p_partkey, concat(repeat('0', cast(p_partkey % 4 as integer)), case when p_size % 3 = 0 then '000' else concat(p_size, 'A') end) as k from part)""",
 )
 def sca_strip_zeros(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     key = F.concat(
-        F.repeat(F.lit("0"), (F.col("p_partkey") % 4).cast("int")), F.col("p_size").cast("string"), F.lit("A")
+        F.repeat(F.lit("0"), (F.col("p_partkey") % 4).cast("int")),
+        F.when(F.col("p_size") % 3 == 0, "000").otherwise(F.concat(F.col("p_size").cast("string"), F.lit("A"))),
     )
     return p.select("p_partkey", strip_zeros(key).alias("any_zero"), strip_zeros(key, 2).alias("two_zeros"))
 

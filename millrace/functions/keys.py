@@ -17,12 +17,14 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_zeros(c: Column | str, min_zeros: int = 1) -> Column:
-    """Remove leading zeros when there are at least ``min_zeros`` of them.
+    """Remove leading zeros when there are at least ``min_zeros`` of them; a key of zeros alone keeps one.
 
     ``min_zeros=2`` leaves ``0ABC`` as it is and turns ``00ABC`` into ``ABC``.
     """
-    stripped = F.ltrim(_col(c), F.lit("0"))
-    return stripped if min_zeros <= 1 else F.when(_col(c).startswith("0" * min_zeros), stripped).otherwise(_col(c))
+    key = _col(c).cast("string")
+    short = F.ltrim(key, F.lit("0"))
+    stripped = F.when((short == "") & (key != ""), "0").otherwise(short)
+    return stripped if min_zeros <= 1 else F.when(key.startswith("0" * min_zeros), stripped).otherwise(key)
 
 
 def pad_key(c: Column | str, n: int = 10) -> Column:

@@ -86,7 +86,7 @@ def receipts_by_month(indicators: DataFrame, plant: str, as_of: date) -> DataFra
     rows = due.filter((F.col("plant") == plant) & (F.col("month") <= F.lit(last)))
     value = F.when(F.col("unit") == "AMOUNT", F.col("local_amount")).otherwise(F.col("quantity"))
     return rows.groupBy(strip_zeros("material", 2).alias("item"), "month", F.col("unit").alias("concept")).agg(
-        F.sum(value.cast("decimal(28,4)")).cast("double").alias("due_qty")
+        F.sum(value.cast("decimal(38,12)")).cast("double").alias("due_qty")
     )
 
 

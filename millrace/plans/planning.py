@@ -270,5 +270,5 @@ def planning_spine(
     concepts = F.explode(F.array(F.lit(PIECES), F.lit(AMOUNT)))
     out = left_join_all(spine.withColumn("concept", concepts), by_concept)
     if target in out.columns:
-        out = out.withColumn(target, F.coalesce(F.col(target), F.col(max_stock)).cast("int"))
+        out = out.withColumn(target, F.coalesce(F.col(target), F.col(max_stock)).cast("double"))
     return out

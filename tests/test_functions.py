@@ -13,7 +13,7 @@ def one(spark, column, value, type_="string"):
 
 @pytest.mark.parametrize(
     "key, any_zero, two_zeros",
-    [("0ABC", "ABC", "0ABC"), ("00ABC", "ABC", "ABC"), ("000", "", ""), ("", "", ""), (" ", " ", " "), (None, None, None)],
+    [("0ABC", "ABC", "0ABC"), ("00ABC", "ABC", "ABC"), ("000", "0", "0"), ("0", "0", "0"), ("", "", ""), (" ", " ", " "), (None, None, None)],
 )
 def test_strip_zeros(spark, key, any_zero, two_zeros):
     assert one(spark, M.strip_zeros, key) == any_zero
