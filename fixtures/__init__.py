@@ -8,6 +8,7 @@ from fixtures import (  # noqa: F401
     imports,
     inventory,
     joins,
+    kept,
     orders,
     planning,
     purchasing,

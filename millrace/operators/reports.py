@@ -12,6 +12,25 @@ from millrace.functions import ratio
 from millrace.operators.reshape import months_from
 
 
+def month_totals(df: DataFrame, hierarchy: Sequence[str], day: str, value: str) -> DataFrame:
+    """(hierarchy, month, total, rows): sums of the finest level by month, of which every report is made."""
+    month = F.trunc(F.col(day).cast("date"), "month").alias("month")
+    return df.groupBy(*hierarchy, month).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("rows"))
+
+
+def report_totals(fine: DataFrame, hierarchy: Sequence[str], start: date, months: int) -> DataFrame:
+    """``totals_report`` from the rows of ``month_totals``."""
+    steps = months_from(start, months + 1)
+    inside = fine.filter((F.col("month") >= F.lit(steps[0])) & (F.col("month") < F.lit(steps[-1])))
+    labels = [f"{m:%Y-%m}" for m in steps[:-1]]
+    cells = [
+        F.coalesce(F.sum(F.when(F.col("month") == F.lit(m), F.col("total"))), F.lit(0)).alias(label)
+        for m, label in zip(steps, labels)
+    ]
+    report = inside.rollup(*hierarchy).agg(*cells, F.sum("total").alias("total"), F.grouping_id().alias("level"))
+    return report.withColumn("mean", F.col("total").cast("double") / months)
+
+
 def totals_report(
     df: DataFrame, hierarchy: Sequence[str], day: str, value: str, start: date, months: int
 ) -> DataFrame:
@@ -22,14 +41,7 @@ def totals_report(
     """
     steps = months_from(start, months + 1)
     inside = df.filter((F.col(day) >= F.lit(steps[0])) & (F.col(day) < F.lit(steps[-1])))
-    fine = inside.groupBy(*hierarchy, F.trunc(F.col(day).cast("date"), "month").alias("_m")).agg(F.sum(value).alias("_v"))
-    labels = [f"{m:%Y-%m}" for m in steps[:-1]]
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("_m") == F.lit(m), F.col("_v"))), F.lit(0)).alias(label)
-        for m, label in zip(steps, labels)
-    ]
-    report = fine.rollup(*hierarchy).agg(*cells, F.sum("_v").alias("total"), F.grouping_id().alias("level"))
-    return report.withColumn("mean", F.col("total").cast("double") / months)
+    return report_totals(month_totals(inside, hierarchy, day, value), hierarchy, start, months)
 
 
 def quarter_means(df: DataFrame, keys: Sequence[str], day: str, value: str, revised: str) -> DataFrame:
