@@ -61,14 +61,14 @@ def prj_mapping_rename(spark, sf_dir):
 
 @query(
     "prj_normalise_name",
-    """select p_partkey, translate(translate(replace(trim(translate(upper(
-      concat(' ', p_name, '/', p_brand, '. (', p_type, ')  n° = año-', p_size, ' ')), '/°º.', '_OO ')), '  ', ' '),
-      ' =-()', '___'), 'ÁÉÍÓÚÑ', 'AEIOUN') as name from part""",
+    """select p_partkey, replace(translate(translate(replace(trim(translate(upper(
+      concat(' ', p_name, '/', p_brand, '. (', p_type, ')  n° = año-', p_size, ' Łódź Ærø ')), '/°º.', '_OO ')), '  ', ' '),
+      ' =-()', '___'), 'ÁÉÍÓÚÑŁŹØ', 'AEIOUNLZO'), 'Æ', 'AE') as name from part""",
 )
 def prj_normalise_name(spark, sf_dir):
     text = F.concat(
         F.lit(" "), "p_name", F.lit("/"), "p_brand", F.lit(". ("), "p_type", F.lit(")  n° = año-"),
-        F.col("p_size").cast("string"), F.lit(" "),
+        F.col("p_size").cast("string"), F.lit(" Łódź Ærø "),
     )
     return table(spark, sf_dir, "part").select("p_partkey", normalise_name(text).alias("name"))
 

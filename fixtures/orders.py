@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -19,9 +20,10 @@ from millrace.plans.orders import (
     orders_for_planning,
     reserved_orders,
 )
-from millrace.plans.refresh import refresh_fact, refresh_silver
+from millrace.plans.refresh import refresh_fact, refresh_silver, store_silver
 from millrace.sources.registry import TableSpec, with_types
 from millrace.sources.scans import literal_table
+from millrace.sources.workspace import new_path
 
 MAPPING = [
     ("LINES", "L_ORDERKEY", "Pedido"),
@@ -47,7 +49,7 @@ def _raw(spark, sf_dir):
     )
 
 
-def _silver(spark, sf_dir, delta):
+def _lines_spec(spark):
     mapping = literal_table(spark, MAPPING, "tabla string, TEC string, USUARIO string")
     dictionary = literal_table(spark, DICTIONARY, "table string, column string, datatype string")
     spec = with_types(
@@ -57,6 +59,11 @@ def _silver(spark, sf_dir, delta):
         ),
         dictionary,
     )
+    return spec, mapping
+
+
+def _silver(spark, sf_dir, delta):
+    spec, mapping = _lines_spec(spark)
     raw = _raw(spark, sf_dir)
     if delta:
         mark = datetime(2000, 1, 1)
@@ -83,6 +90,18 @@ def biz_refresh_silver_delta(spark, sf_dir):
     return _silver(spark, sf_dir, delta=True)
 
 
+@query("biz_store_silver", SILVER)
+def biz_store_silver(spark, sf_dir):
+    # A first load, then an increment that is merged into the files at rest, then the same again.
+    spec, mapping = _lines_spec(spark)
+    spec = replace(spec, partition_by=("YEAR",), load_mode="append")
+    raw, path, mark = _raw(spark, sf_dir), new_path(spark, "silver"), datetime(2000, 1, 1)
+    store_silver(raw.filter(F.col("SEQ_DATE") < F.lit(mark)), spec, mapping, path, load="first")
+    for _ in range(2):
+        kept = store_silver(raw, spec, mapping, path, since=mark, load="second")
+    return kept.read().drop("SEQ_DATE")
+
+
 @query(
     "biz_opening_snapshot",
     f"""select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where cast(l_shipdate as date) = date '1998-06-01'

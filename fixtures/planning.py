@@ -312,7 +312,7 @@ STEPS = GRID + ",".join(
 ) + """, u as (select * from r0 union all select * from r1 union all select * from r2 union all select * from r3),
     w as (select *, case when step = 0 then stock else op end + planned_qty as have, case when step = 0 then backlog else pb end as owed,
       case when step = 0 then backlog else greatest(-final, 0) end as own from u),
-    pr as (select item, month, stock_price, unit_cost, demand_price, backlog_price, planned_qty, demand, backlog, sales, stock, final as final_stock, greatest(final, 0) as end_stock,
+    pr as materialized (select item, month, stock_price, unit_cost, demand_price, backlog_price, planned_qty, demand, backlog, sales, stock, final as final_stock, greatest(final, 0) as end_stock,
       greatest(-final, 0) as estimated_backlog, op as opening_stock, pb as prior_backlog, case when own = 0 then 0 when have > owed then own else have end as recovered_backlog,
       case when have - owed > demand then demand when have - owed < 0 then 0 else have - owed end as covered_demand from w
       union all select item, month, stock_price, unit_cost, demand_price, backlog_price, planned_qty, demand, backlog, sales, stock, 0, 0, 0, 0, 0, 0, 0 from g where step > 3)"""
@@ -340,7 +340,7 @@ def _valued(spark, sf_dir):
     return out.drop("stock_price", "unit_cost", "demand_price", "backlog_price")
 
 
-VALUED = """val as (select item, month, concept, backlog, demand, sales, prior_backlog, greatest(stock_price, unit_cost) as max_price,
+VALUED = """val as materialized (select item, month, concept, backlog, demand, sales, prior_backlog, greatest(stock_price, unit_cost) as max_price,
       planned_qty * k as planned_qty, stock * k as stock, final_stock * k as final_stock, end_stock * k as end_stock, opening_stock * k as opening_stock,
       estimated_backlog * d as estimated_backlog, covered_demand * d as covered_demand, recovered_backlog * b as recovered_backlog
       from (select pr.*, concept, case concept when 'PIECES' then 1 else greatest(stock_price, unit_cost) end as k,
@@ -364,7 +364,7 @@ def _history(spark, sf_dir):
 
 FINISH = f"""hist as (select l_partkey as item, {MONTH} as month, 'PIECES' as concept, sum(l_quantity)::double as stock, count(*)::double as estimated_backlog, max(l_quantity)::double as opening_stock
       from lineitem where l_shipdate < timestamp '1998-06-01' group by 1, 2),
-    fin as (select item, month, concept, case when month > date '1998-06-01' then 0 else stock end as stock,
+    fin as materialized (select item, month, concept, case when month > date '1998-06-01' then 0 else stock end as stock,
       case when month <= date '1998-06-01' then case when month > date '1998-06-01' then 0 else stock end when month > date '1998-09-01' then 0 else opening_stock end as opening_stock,
       case when month >= date '1998-06-01' then 0.25 else 1 end * case when month > date '1998-09-01' then 0 else estimated_backlog end as estimated_backlog
       from (select item, month, concept, stock, estimated_backlog, opening_stock from hist union all by name select item, month, concept, stock, estimated_backlog, opening_stock from val))"""

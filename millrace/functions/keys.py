@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import reduce
+from itertools import chain
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented capitals and their plain letters, pairwise.
-ACCENTED = "ÁÀÂÄÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUY"
+
+def _latin() -> dict[str, str]:
+    """Latin letters beyond ASCII and what is left of each without its marks, from the Unicode decompositions."""
+    out = {}
+    for c in map(chr, chain(range(0xC0, 0x250), range(0x1E00, 0x1F00))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain.isascii() and plain.isalpha():
+            out[c] = plain
+    return out
+
+
+# Latin capitals that Unicode does not decompose.
+UNMARKED = {"Æ": "AE", "Ð": "D", "Đ": "D", "Ħ": "H", "Ł": "L", "Ŋ": "NG", "Ø": "O", "Œ": "OE", "ẞ": "SS", "Þ": "TH", "Ŧ": "T"}
+LETTERS = _latin() | UNMARKED
+SINGLE = {c: p for c, p in LETTERS.items() if len(p) == 1}
+DOUBLE = {c: p for c, p in LETTERS.items() if len(p) > 1}
 # Fixed value: white space characters.
 WHITE_SPACE = " \t\n\x0b\f\r"
 
@@ -57,8 +74,9 @@ def normalise_name(c: Column | str) -> Column:
     """Upper-case ASCII identifier made from a business name.
 
     In this order: upper case, ``/`` to ``_``, degree and ordinal signs to ``O``, dot to space, outer white space
-    off, double spaces to one (one pass), space, ``=`` and ``-`` to ``_``, round brackets off, accents off.
+    off, double spaces to one (one pass), space, ``=`` and ``-`` to ``_``, round brackets off, Latin letters to ASCII.
     """
     text = F.translate(F.upper(_col(c)), "/°º.", "_OO ")
     text = F.replace(F.btrim(text, F.lit(WHITE_SPACE)), F.lit("  "), F.lit(" "))
-    return F.translate(F.translate(text, " =-()", "___"), ACCENTED, PLAIN)
+    text = F.translate(F.translate(text, " =-()", "___"), "".join(SINGLE), "".join(SINGLE.values()))
+    return reduce(lambda t, d: F.replace(t, F.lit(d[0]), F.lit(d[1])), DOUBLE.items(), text)

@@ -1,23 +1,22 @@
 """Reconciliation of two tables by digests: only what differs is compared row by row.
 
 The digest of a set of rows is their number and the sum of their 64-bit hashes, so it does not depend on the order of
-rows, digests of parts add up, and what is taken away is subtracted. Rows are dealt to buckets by a hash of their key.
-Digests of the buckets can be kept beside a table; two such lists are compared from wide ranges of buckets down to
-single ones, and only rows of buckets that differ are brought together.
+rows, digests of parts add up, and what is taken away is subtracted. Rows are dealt to buckets by a hash of their key. Digests of the buckets can be kept beside a table as a
+tree; two trees are compared from the root down, and only rows of buckets that differ are brought together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import key_hash
 
-# Buckets of a table, and children of a node of the tree above them.
+# Buckets of a table, and nodes of the tree above them.
 BUCKETS = 1 << 16
-FAN = 1 << 4
+NODES = 1 << 8
 
 
 def _hash(columns: Sequence[str]) -> Column:
@@ -42,20 +41,40 @@ def add_digests(*parts: DataFrame) -> DataFrame:
     return out.groupBy("bucket").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
 
 
-def differing_buckets(a: DataFrame, b: DataFrame, buckets: int = BUCKETS, fan: int = FAN) -> DataFrame:
-    """(bucket) where two lists of digests differ, found from the root down: a range that agrees is not looked into."""
-    minus = b.select("bucket", (-F.col("rows")).alias("rows"), (-F.col("total")).cast("decimal(38,0)").alias("total"))
-    both = a.select("bucket", "rows", "total").union(minus)
-    width = fan
-    while width < buckets:
-        width *= fan
-    while width > 1:
-        width //= fan
-        node = F.floor(F.col("bucket") / width).cast("int")
-        sums = both.groupBy(node.alias("node")).agg(F.sum("rows").alias("r"), F.sum("total").alias("t"))
-        differ = sums.filter((F.col("r") != 0) | (F.col("t") != 0)).select("node")
-        both = both.withColumn("node", node).join(differ, "node", "left_semi").drop("node")
-    return both.select("bucket").distinct()
+def _differing(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
+    minus = b.select(by, (-F.col("rows")).alias("rows"), (-F.col("total")).cast("decimal(38,0)").alias("total"))
+    sums = a.select(by, "rows", "total").union(minus).groupBy(by).agg(F.sum("rows").alias("r"), F.sum("total").alias("t"))
+    return sums.filter((F.col("r") != 0) | (F.col("t") != 0)).select(by)
+
+
+def differing_buckets(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(bucket) where two lists of digests differ."""
+    return _differing(a, b, "bucket")
+
+
+class KeptDigests:
+    """Digests at ``path`` as a tree: ``NODES`` sums, and the buckets of each in a partition of its own."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def write(self, leaves: DataFrame) -> None:
+        by_node = leaves.withColumn("node", F.pmod("bucket", F.lit(NODES)))
+        by_node.repartition("node").write.mode("overwrite").partitionBy("node").parquet(f"{self.path}/leaves")
+        sums = self.leaves().groupBy("node").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
+        sums.write.mode("overwrite").parquet(f"{self.path}/nodes")
+
+    def leaves(self) -> DataFrame:
+        return self.spark.read.schema("bucket int, rows bigint, total decimal(38,0), node int").parquet(f"{self.path}/leaves")
+
+    def nodes(self) -> DataFrame:
+        return self.spark.read.schema("node int, rows bigint, total decimal(38,0)").parquet(f"{self.path}/nodes")
+
+    def differing(self, other: KeptDigests) -> DataFrame:
+        """(bucket) where two trees differ; buckets below nodes that agree are not read."""
+        nodes = [r["node"] for r in _differing(self.nodes(), other.nodes(), "node").toLocalIterator()]  # at most NODES
+        below = [side.leaves().filter(F.col("node").isin(nodes)) for side in (self, other)]
+        return differing_buckets(*below)
 
 
 def reconcile_rows(
@@ -63,19 +82,19 @@ def reconcile_rows(
     b: DataFrame,
     keys: Sequence[str],
     *,
-    a_digests: DataFrame | None = None,
-    b_digests: DataFrame | None = None,
+    differing: DataFrame | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Keys whose rows differ, with ``state``: ``only_left``, ``only_right`` or ``changed``.
 
     Both tables have the same columns; a key may have several rows, which are compared as a whole, and null keys are
-    keys like any other. Without kept digests they are worked out first, from one pass over each table that shuffles a
-    row per bucket and task. Then only rows in differing buckets are shuffled.
+    keys like any other. ``differing`` lists the buckets that differ, from kept digests; without it digests are worked
+    out first, from one pass over each table that shuffles a row per bucket and task. Only rows in differing buckets
+    are shuffled.
     """
-    a_digests = digests(a, keys, buckets) if a_digests is None else a_digests
-    b_digests = digests(b, keys, buckets) if b_digests is None else b_digests
-    wanted = F.broadcast(differing_buckets(a_digests, b_digests, buckets).withColumnRenamed("bucket", "_bucket"))  # one row per bucket
+    if differing is None:
+        differing = differing_buckets(digests(a, keys, buckets), digests(b, keys, buckets))
+    wanted = F.broadcast(differing.withColumnRenamed("bucket", "_bucket"))  # one row per bucket
 
     def side(df: DataFrame, sign: int) -> DataFrame:
         rows = df.withColumns({"_bucket": _bucket(keys, buckets), "_h": _hash(sorted(df.columns)) * sign, "_side": F.lit(sign)})

@@ -14,6 +14,7 @@ from millrace.operators.filters import drop_empty
 from millrace.operators.sets import union_missing
 from millrace.operators.snapshots import latest_by_key, snapshot_per_group
 from millrace.sources.registry import TableSpec
+from millrace.sources.versioned import VersionedTable
 
 
 def refresh_silver(
@@ -42,6 +43,24 @@ def refresh_silver(
     return latest_by_key(rows, [names.get(k, k) for k in spec.keys], [names.get(c, c) for c in spec.order_by])
 
 
+def store_silver(
+    df: DataFrame, spec: TableSpec, mapping: DataFrame, path: str, since: datetime | None = None, load: str | None = None
+) -> VersionedTable:
+    """Refresh the cleansed table at ``path`` from a raw one, by the load mode of its specification.
+
+    ``append`` merges the loads from one hour before ``since`` on into the stored table, which rewrites the files with
+    their keys; ``overwrite`` makes the table anew. Readers see the old table or the new one.
+    """
+    names = business_names(mapping, df.columns, spec.name)
+    named = lambda columns: [names.get(c, c) for c in columns]
+    table = VersionedTable(df.sparkSession, path, named(spec.keys), partition_by=named(spec.partition_by))
+    if spec.load_mode == "append":
+        table.merge(refresh_silver(df, spec, mapping, since if table.version() else None), named(spec.order_by), load)
+    else:
+        table.replace(refresh_silver(df, spec, mapping), load)
+    return table
+
+
 def refresh_fact(
     df: DataFrame,
     loaded: str,

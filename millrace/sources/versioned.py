@@ -153,7 +153,8 @@ class VersionedTable:
     def merge(self, increment: DataFrame, order_by: Sequence[Order], load: str | None = None) -> int:
         """Newest version of every key of table and increment, by ``order_by`` as in ``latest_by_key``.
 
-        Files without a key of the increment stay as they are. Returns the new version.
+        Files without a key of the increment stay as they are. A column that only the increment has is null in older
+        rows. Returns the new version.
         """
         version = self.version()
         if load is not None and load in self.loads():
@@ -166,10 +167,18 @@ class VersionedTable:
         fresh = latest_by_key(increment, self.keys, order_by)
         touched = self._kept(self.files_of(fresh, version), f"manifests/{change}-touched")
         old = self._read(touched, schema)
-        merged = latest_by_key(old.unionByName(fresh.select(*schema.names)), self.keys, order_by)
+        merged = latest_by_key(old.unionByName(fresh, allowMissingColumns=True), self.keys, order_by)
         files = self._write(merged, change)
         kept = live.join(touched, "file", "left_anti").select(*files.columns)
-        return self._publish(version, kept.unionByName(files), schema, change, load=load, rewritten=touched.count())
+        return self._publish(version, kept.unionByName(files), merged.schema, change, load=load, rewritten=touched.count())
+
+    def replace(self, rows: DataFrame, load: str | None = None) -> int:
+        """Replace all rows and return the new version."""
+        version = self.version()
+        if load is not None and load in self.loads():
+            return version
+        change = _new(load)
+        return self._publish(version, self._write(rows, change), rows.schema, change, load=load)
 
     def replace_slice(self, new_rows: DataFrame, outside: Column, load: str | None = None) -> int:
         """Replace the rows for which ``outside`` is not true by ``new_rows``, in one visible step.

@@ -85,7 +85,7 @@ def test_key_timestamp(spark):
 
 @pytest.mark.parametrize(
     "name, out",
-    [(" Número de  cliente ", "NUMERO_DE_CLIENTE"), ("Imp./Valor (MXN)", "IMP__VALOR_MXN"), ("N° doc-1=2", "NO_DOC_1_2")],
+    [(" Número de  cliente ", "NUMERO_DE_CLIENTE"), ("Imp./Valor (MXN)", "IMP__VALOR_MXN"), ("N° doc-1=2", "NO_DOC_1_2"), ("Łódź Ørsted straße", "LODZ_ORSTED_STRASSE"), ("Ærø Þór Đỗ ẞ Ŋ Ǆ ő", "AERO_THOR_DO_SS_NG_DZ_O")],
 )
 def test_normalise_name(spark, name, out):
     assert one(spark, M.normalise_name, name) == out

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.digests import add_digests, differing_buckets, digests, reconcile_rows
+from millrace.operators.digests import KeptDigests, add_digests, differing_buckets, digests, reconcile_rows
 from millrace.operators.reports import totals_report
 from millrace.plans.planning import planning_spine
 from millrace.operators.reshape import months_from
@@ -37,17 +37,23 @@ def test_reconcile_rows_finds_what_two_joins_find(spark):
     assert reconcile_rows(left, left, ["k"]).count() == 0
 
 
-def test_digests_add_up_and_lead_to_the_buckets_that_differ(spark):
+def test_digests_add_up_and_lead_to_the_buckets_that_differ(spark, tmp_path):
     df = spark.range(20_000).select("id", (F.col("id") % 7).alias("v"))
     whole = digests(df, ["id"], 4096)
     parts = [digests(df.filter(F.col("id") % 3 == i), ["id"], 4096) for i in range(3)]
     assert rows(add_digests(*parts).select("bucket", "rows", "total")) == rows(whole)
     changed = df.withColumn("v", F.when(F.col("id").isin(5, 700), 99).otherwise(F.col("v")))
-    found = differing_buckets(whole, digests(changed, ["id"], 4096), 4096)
+    found = differing_buckets(whole, digests(changed, ["id"], 4096))
     assert 1 <= found.count() <= 2
     # Rows brought together follow the buckets that differ, not the tables.
-    got = reconcile_rows(df, changed, ["id"], a_digests=whole, buckets=4096)
+    got = reconcile_rows(df, changed, ["id"], differing=found, buckets=4096)
     assert rows(got) == rows(spark.createDataFrame([(5, "changed"), (700, "changed")], "id long, state string"))
+    trees = [KeptDigests(spark, str(tmp_path / name)) for name in "ab"]
+    for tree, side in zip(trees, (df, changed)):
+        tree.write(digests(side, ["id"], 4096))
+    below = trees[0].differing(trees[1])
+    assert rows(below) == rows(found) and trees[0].differing(trees[0]).count() == 0
+    assert "PartitionFilters: [node" in plan_of(below).replace("isnotnull(", "[")  # other nodes are not opened
 
 
 @pytest.fixture

@@ -9,7 +9,9 @@ from millrace.sources.ingest import ingest_since, read_loaded
 from millrace.sources.load_log import Watermark
 from millrace.sources.registry import (
     PURCHASING_KEYS,
+    PURCHASING_PARTITIONS,
     SALES_KEYS,
+    SALES_PARTITIONS,
     TableSpec,
     purchasing_spec,
     sales_spec,
@@ -312,6 +314,10 @@ def test_specs(spark):
     assert purchasing_spec("EKET").keys == ("EBELN", "EBELP", "ETENR")
     assert sales_spec("A005").order_by == ("DATAB", "SEQ_DATE")
     assert (len(PURCHASING_KEYS), len(SALES_KEYS)) == (30, 21)
+    assert set(PURCHASING_PARTITIONS) <= set(PURCHASING_KEYS) and set(SALES_PARTITIONS) <= set(SALES_KEYS)
+    assert {t for t in PURCHASING_KEYS if purchasing_spec(t).load_mode == "append"} == {"EKKO", "MATDOC"}
+    assert purchasing_spec("EBAN").partition_by == ("YEAR", "MONTH") and sales_spec("MVKE").partition_by == ("YEAR", "MONTH", "MANDANTE", "CDIS")
+    assert sales_spec("VBAP").partition_by == ("YEAR",) and sales_spec("VBEP").partition_by == ()
     dictionary = spark.createDataFrame([("T", "N", "CURR"), ("T", "D", "DATS"), ("T", "C", "CHAR"), ("U", "X", "QUAN")], "table string, column string, datatype string")
     spec = with_types(TableSpec("T", ("K",)), dictionary)
     assert (spec.numeric, spec.dates) == (("N",), ("D",))

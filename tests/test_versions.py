@@ -132,6 +132,16 @@ def test_snapshot_opens_no_more_files_when_old_loads_pile_up(spark, tmp_path):
     assert len(kept.manifest().collect()) > opened
 
 
+def test_a_new_column_is_null_in_older_rows(spark, tmp_path, base):
+    kept = VersionedTable(spark, str(tmp_path / "t"), ["id"])
+    kept.merge(base, ["seq"])
+    kept.merge(change(spark, [10, 12], 1).withColumn("extra", F.lit("e")), ["seq"])
+    got = kept.read()
+    assert got.columns[-1] == "extra" and got.filter("extra = 'e'").count() == 2 and got.count() == base.count()
+    assert kept.replace(base.limit(3), load="x") == kept.replace(base.limit(3), load="x")
+    assert kept.read().count() == 3 and kept.read().columns == base.columns
+
+
 def test_shared_files(spark, tmp_path):
     path = f"{tmp_path}/d/x"
     shared_files.write_new(spark, path, "é")
