@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import ratio
 from millrace.operators.joins import SALTS, match
+from millrace.operators.skew import match_skewed
 from millrace.operators.snapshots import Order, latest_by_key
 
 
@@ -128,11 +129,12 @@ def spread_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def with_group_stat(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Aggregates of the key's group beside every detail row.
 
-    The group is aggregated and joined back, salted, instead of read through a window, which would hold it in one task.
+    The group is aggregated and joined back, heavy keys cut into pieces, instead of read through a window, which would
+    hold it in one task.
     """
-    return match(df, df.groupBy(*keys).agg(*aggs), keys, salts=SALTS)
+    return match_skewed(df, df.groupBy(*keys).agg(*aggs), keys)
 
 
 def with_group_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Median of the key's group beside every detail row."""
-    return match(df, exact_median(df, keys, value, name), keys, salts=SALTS)
+    return match_skewed(df, exact_median(df, keys, value, name), keys)

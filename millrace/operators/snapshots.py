@@ -4,7 +4,7 @@
 per key *before* the shuffle, so a key that holds a third of the table sends a handful of rows to its reducer.
 The snapshot operators keep whole loads, which may be large, so they never put a group into a window: the chosen
 load time per group is a partial aggregate, and the rows are found again by an equi-join, broadcast where the groups
-are calendar periods and salted where they may be anything.
+are calendar periods and with heavy loads cut into pieces where they may be anything.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import SALTS, match
+from millrace.operators.joins import match
+from millrace.operators.skew import match_skewed
 
 Order = Column | str
 
@@ -46,12 +47,12 @@ def snapshot_per_group(
     """All rows of the newest (or oldest) load of each group; rows that share the load time all stay.
 
     ``calendar_groups`` states that a group is a calendar period, so that there are at most a few thousand of them: the
-    chosen loads are then broadcast and the table is not shuffled at all. Otherwise the join is salted.
+    chosen loads are then broadcast and the table is not shuffled at all. Otherwise heavy loads are cut into pieces.
     """
     chosen = df.groupBy(*group).agg(_pick(pick)(ts).alias(ts))
     if calendar_groups:
         return match(df, F.broadcast(chosen), [*group, ts], how="left_semi")
-    return match(df, chosen, [*group, ts], how="left_semi", salts=SALTS)
+    return match_skewed(df, chosen, [*group, ts], "left_semi")
 
 
 def snapshot_overall(df: DataFrame, ts: str, pick: str = "max") -> DataFrame:
