@@ -3,8 +3,10 @@
 The pre-tokenizers of these files never join characters across a single space between two others, and the space goes
 with the word after it or is dropped. So a text is cut before every such space. A part that is new is cut further
 where a letter or digit meets a mark of ASCII or a line end, and after a single line end: there, too, the pre-tokenizers
-always cut. Each piece is encoded by the library. Parts and pieces that occur again come from a bounded memory, which
-changes nothing in the result. Strings of special tokens inside a text are ordinary text.
+always cut. New pieces of a batch are encoded by the library together; those of plain letters many to a text, as the
+tokens themselves tell where a word ends. Parts and pieces that occur again come from a bounded memory, which changes
+nothing in the result. A text that may hold the string of a special token, which
+the library looks for first, or the one letter whose small form has a mark that joins what follows, is encoded whole.
 """
 
 from __future__ import annotations
@@ -19,50 +21,36 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are th
 
 from tokenizers import Tokenizer  # noqa: E402
 
-#: Pieces remembered in each of two memories. When the newer is full it takes the older one's place, and what is still
-#: in use moves over, so that only seldom words are worked out again.
-PIECES = 300_000
-#: Parts remembered; when they are more, their memory starts again, which the pieces make cheap.
-PARTS = 300_000
+#: Parts and pieces remembered in each of two generations. When the newer is full it takes the older one's place, and
+#: what is still in use moves over, so that only seldom words are worked out again.
+PARTS = 600_000
+PIECES = 150_000
+#: Texts of one call of the library, and words of one text.
+CALL, JOINED = 4096, 512
+#: A blank and letters that stay one letter each under the files' normalizers.
+LETTERS = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 PART = re.compile(r"(?<=\S) (?=\S)")
 PIECE = re.compile(r"(?<=[^\W_])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=[^\W_])")
+DOTTED = "İ"
 
 
-class Careful(Exception):
-    """A part begins or ends with white space: its text must be cut with more care."""
+class Memory:
+    """Two generations of ids by text."""
 
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
 
-class Pieces(dict):
-    """Ids of pieces, asked of the library when first met."""
+    def turn(self) -> None:
+        """Between batches: start a new generation if the newer one is full."""
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
 
-    def __init__(self, lib: Tokenizer, code: str):
-        self.lib, self.code, self.old = lib, code, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > PIECES:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = array(self.code, self.lib.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
-        self[piece] = ids
-        return ids
-
-
-class Parts(dict):
-    """Ids of parts after a blank, put together from pieces when first met."""
-
-    def __init__(self, pieces: Pieces):
-        self.pieces = pieces
-
-    def __missing__(self, part: str) -> bytes:
-        # A blank beside another white space is no place to cut. Such parts are never remembered, so they show each time.
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise Careful
-        if len(self) > PARTS:
-            self.clear()
-        ids = self[part] = b"".join(map(self.pieces.__getitem__, PIECE.split(" " + part)))
-        return ids
+    def take(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that are not known; the known ones are in ``new`` afterwards."""
+        missing = wanted.difference(self.new)
+        known = missing.intersection(self.old)
+        self.new.update((k, self.old[k]) for k in known)
+        return missing - known
 
 
 class WordTokenizer:
@@ -70,30 +58,85 @@ class WordTokenizer:
 
     def __init__(self, file: str):
         self.lib = Tokenizer.from_file(file)
-        self.lib.encode_special_tokens = True
         self.lib.no_padding()
         self.lib.no_truncation()
         self.width = 2 if self.lib.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
-        self.pieces = Pieces(self.lib, {2: "H", 4: "I"}[self.width])
-        self.parts = Parts(self.pieces)
+        self.dtype, self.code = np.dtype(f"<u{self.width}"), {2: "H", 4: "I"}[self.width]
+        self.pieces, self.parts = Memory(PIECES), Memory(PARTS)
+        # Special tokens are found whatever their case, as a file may lower-case before it looks for them.
+        special = [re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special), re.IGNORECASE) if special else None
+        self.fronts = {t.content[:2] for t in self.lib.get_added_tokens_decoder().values()}
+
+        vocabulary = self.lib.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word, or else those that begin one
+        self.ending = any(t.endswith("</w>") for t in vocabulary)
+        self.ends[[i for t, i in vocabulary.items() if (t.endswith("</w>") if self.ending else t.startswith("Ġ"))]] = True
+
+    def _joined(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of letters, each with its blank, encoded as one text; None if they cannot be told apart."""
+        ids = np.array(self.lib.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, self.dtype)
+        at = np.flatnonzero(self.ends[ids])
+        cuts = (self.width * np.concatenate([[0], at + 1] if self.ending else [at, [len(ids)]])).tolist()
+        if len(cuts) != len(words) + 1 or cuts[0] != 0 or cuts[-1] != self.width * len(ids):
+            return None
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces."""
+        out: dict[str, bytes] = {}
+        alone: list[str] = []
+        words: list[str] = []
+        for p in pieces:
+            (words if LETTERS.fullmatch(p) else alone).append(p)
+        for i in range(0, len(words), JOINED):
+            part = words[i : i + JOINED]
+            ids = self._joined(part)
+            if ids is None:
+                alone += part
+            else:
+                out.update(zip(part, ids, strict=True))
+        out.update(zip(alone, self._call(alone), strict=True))
+        return out
+
+    def _whole(self, text: str) -> bool:
+        """Whether a text must not be cut."""
+        return DOTTED in text or any(f in text for f in self.fronts) and self.special.search(text) is not None
 
-    def _learn(self, part: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, PIECE.split(part)))
+    def _call(self, texts: list[str]) -> list[bytes]:
+        found = (e.ids for i in range(0, len(texts), CALL) for e in self.lib.encode_batch_fast(texts[i : i + CALL], add_special_tokens=False))
+        return [array(self.code, ids).tobytes() for ids in found]
+
+    def _learn(self, parts: list[str], heads: list[str]) -> list[bytes]:
+        """Put the ids of parts, each after a blank, into the memory, and give those of heads, which have none."""
+        cut = [[" " + p] if p.isalnum() else PIECE.split(" " + p) for p in parts]
+        first = list(map(PIECE.split, heads))
+        self.pieces.new.update(self._new(list(self.pieces.take(set().union(*cut, *first)))))
+        get = self.pieces.new.__getitem__
+        self.parts.new.update((p, b"".join(map(get, c))) for p, c in zip(parts, cut, strict=True))
+        return [b"".join(map(get, c)) for c in first]
 
     def encode_all(self, texts: list[str], last: bytes = b"") -> list[bytes]:
         """Ids of each text, then ``last``."""
-        out, get = [], self.parts.__getitem__
-        for text in texts:
-            head, *rest = text.split(" ")
-            try:
-                if not head or head[-1].isspace():
-                    raise Careful
-                out.append(b"".join([self._learn(head), *map(get, rest), last]))
-            except Careful:
-                head, *rest = PART.split(text)
-                out.append(b"".join([self._learn(head), *[self._learn(" " + p) for p in rest], last]))
-        return out
+        self.parts.turn()
+        self.pieces.turn()
+        whole = {i for i, t in enumerate(texts) if self._whole(t)}
+        cut = {i: t.split(" ") for i, t in enumerate(texts) if i not in whole}
+        missing = self.parts.take(set().union(*(c[1:] for c in cut.values())))
+        # A blank beside another white space is no place to cut. Parts that show it are never remembered.
+        beside = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        missing -= beside
+        careful = [i for i, c in cut.items() if not c[0] or c[0][-1].isspace() or beside and not beside.isdisjoint(c[1:])]
+        cut.update((i, PART.split(texts[i])) for i in careful)
+        missing |= self.parts.take(set().union(*(cut[i][1:] for i in careful)))
+        heads = self._learn(list(missing), [c[0] for c in cut.values()])
+        get, out = self.parts.new.__getitem__, dict.fromkeys(range(len(texts)), b"")
+        for (i, c), head in zip(cut.items(), heads, strict=True):
+            out[i] = b"".join([head, *map(get, c[1:]), last])
+        order = sorted(whole)
+        out.update((i, ids + last) for i, ids in zip(order, self._call([texts[i] for i in order]), strict=True))
+        return list(out.values())
 
     def encode(self, text: str, last: bytes = b"") -> bytes:
         return self.encode_all([text], last)[0]

@@ -18,7 +18,10 @@ from millrace.sources.workspace import new_path
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 FILES = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")]
 HARD = st.lists(
-    st.sampled_from([*" abethAΣσ13\n\t\r.,'!-_▁é́ßｆ你😀½²\x00\x1c\x85\u3000", "in", "the", "  ", "'s", "'ll", "<s>", "<|endoftext|>", "...", "\n\n"]), max_size=18
+    st.sampled_from(
+        [*" abethAΣσİ13\n\t\r.,'!-_▁é́ßｆ你😀½²\x00\x1c\x85\u3000", "in", "the", "  ", "'s", "'ll", "<s>", "...", "\n\n"]
+        + ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "<|"]
+    ), max_size=18
 ).map("".join)
 
 
@@ -77,7 +80,21 @@ def words(request):
     return WordTokenizer(request.param)
 
 
-@settings(max_examples=1500, deadline=None)
+@pytest.fixture(scope="module", params=FILES, ids=["bytes", "words"])
+def forgetful(request):
+    got = WordTokenizer(request.param)
+    got.parts.size = got.pieces.size = 5
+    return got
+
+
+@settings(max_examples=500, deadline=None)
+@given(texts=st.lists(HARD, max_size=4))
+def test_a_small_memory_changes_nothing(forgetful, texts):
+    got = [forgetful.ids(x).tolist() for x in forgetful.encode_all(texts)]
+    assert got == [forgetful.lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=3000, deadline=None)
 @given(texts=st.lists(HARD, max_size=4))
 def test_word_memory_as_the_library(words, texts):
     got = [words.ids(x).tolist() for x in words.encode_all(texts, words.end(2))]
@@ -86,7 +103,6 @@ def test_word_memory_as_the_library(words, texts):
 
 def ids_of(file, text):
     lib = Tokenizer.from_file(file)
-    lib.encode_special_tokens = True
     return np.array([*lib.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
 
 
