@@ -29,6 +29,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 TARGET = "assistant"
 #: Characters of a conversation in one row of an example.
 SLICE = 1 << 16
+#: Slices that meet the targets of their conversation together.
+BLOCK = 4
 #: Shape of a segment, to read it back.
 SEGMENT = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*){re.escape(END)}\n", re.DOTALL)
 
@@ -138,9 +140,13 @@ def examples(segments: DataFrame) -> DataFrame:
     parts = cut.select("conv_id", "slice", F.struct("start", F.substr("segment", (skipped + 1).cast("int"), taken.cast("int")).alias("text")).alias("part"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda x: x["text"]), "")
     slices = parts.groupBy("conv_id", "slice").agg(joined.alias("text"))
-    targets = segments.filter("loss_start is not null").select(F.col("conv_id").alias("c"), "place", "loss_start", "loss_end")
+    # Slices meet targets block by block, so that the square of a long conversation spreads over tasks.
+    slices = slices.withColumn("block", F.floor(F.col("slice") / BLOCK))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("loss_end") - 1) / (SLICE * BLOCK))))
+    targets = segments.filter("loss_start is not null").select(F.col("conv_id").alias("c"), "place", "loss_start", "loss_end", blocks.alias("b"))
     begin = F.col("slice") * SLICE
-    pairs = slices.join(targets, F.col("conv_id").eqNullSafe(F.col("c")) & (begin < F.col("loss_end")))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
+    pairs = slices.join(targets, same & (begin < F.col("loss_end")))
     front = F.least(F.greatest(F.col("loss_start") - begin, F.lit(0)), F.lit(SLICE)).cast("int")
     back = F.least(F.col("loss_end") - begin, F.lit(SLICE)).cast("int")
     return pairs.select(
