@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import fresh, saved, with_small_batches
+from millrace.operators.skew import match_skewed
 
 #: Fingerprints per tile: a pair of tiles takes at most 8 MB as a matrix.
 TILE = 1024
@@ -155,7 +156,8 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     near = F.explode(F.array(*[F.lit(s).cast("long") for s in _steps(radius)]))
     visits = tiles.select(near.alias("step"), "key", F.col("first").alias("first2"), F.col("fps").alias("fps2"))
     visits = visits.select("step", (F.col("key") + F.col("step")).alias("key"), "first2", "fps2")
-    pairs = tiles.join(visits, "key").filter("step <> 0 or first <= first2").select("fps", "fps2")
+    # Counts near the middle have the most tiles, whose pairs grow with the square: such a key is cut into pieces.
+    pairs = match_skewed(tiles, visits, ["key"], "inner").filter("step <> 0 or first <= first2").select("fps", "fps2")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fingerprint long, component_id) of every row; ``component_id`` is the smallest id of its component."""
     with_small_batches(docs.sparkSession)
     fps = saved(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("fp")), "simhash")
-    out = fps.join(_components(fps, radius), "fp")
+    out = match_skewed(fps, _components(fps, radius), ["fp"], "inner")  # copies may hold any share of the rows
     return out.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
 
 
