@@ -7,9 +7,11 @@ is the difference of its log-likelihoods under the two models, divided by its le
 calibrated on the URLs that the rules decide: halfway between the mean scores of accepted and rejected ones. URLs at
 the limit or above are allowed; where rules accept or reject nothing, all of the rest is allowed.
 
-All of it is DataFrame operations. Every distinct URL counts once, so copies are no hot key. The parts of a URL that
-are frequent among all URLs are few by their very share and are broadcast; the others are joined by shuffle, each with
-few rows. A URL that is null or has no ``://`` has an empty host and path, and is scored as empty text.
+What is scored is all after the ``://``, query and fragment included, with the host in lower case. All of it is
+DataFrame operations. Every distinct URL counts once, so copies are no hot key, and the join that brings scores back to
+all rows cuts a URL with a large share of them into pieces. The parts of a URL that are frequent among all URLs are few
+by their very share and are broadcast; the others are joined by shuffle, each with few rows. A URL that is null or has
+no ``://`` has an empty host and path, and is scored as empty text.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm.common import fresh, saved
+from millrace.operators.skew import match_skewed
 
 #: Characters of the longest context.
 ORDER = 4
@@ -30,13 +33,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PAD, STOP = "\x02", "\x03"
 
 
-def parts(url: Column) -> tuple[Column, Column]:
-    """Host and path of a URL."""
+def parts(url: Column) -> tuple[Column, Column, Column]:
+    """Host and path of a URL, and the text that is scored."""
     url = F.coalesce(url, F.lit(""))
     at = F.instr(url, "://")
     rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
     host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), UPPER, LOWER)
-    return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    return host, path, F.concat(host, F.substring(rest, F.length(host) + 1, F.length(rest)))
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
@@ -105,32 +109,33 @@ def scores(urls: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, verdict, score) of every row; the score is null where a rule decides."""
-    if id_col in ("host", "path", "rule", "verdict", "score"):
-        raise ValueError(f"the id column must not be called {id_col}")
-    host, path = parts(F.col(url_col))
-    rows = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
+    """(id, host, path, rule, verdict, score) of every row; the score is null where a rule decides.
+
+    An id column with one of the other names is given back beside that column; take columns by place then.
+    """
+    host, path, text = parts(F.col(url_col))
+    rows = pages.select(F.col(id_col).alias("page"), host.alias("host"), path.alias("path"), text.alias("text"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select(id_col, "host", "path", name.alias("rule"), verdict.alias("verdict"))
-    text = F.concat("host", "path")
-    scored = saved(scores(rows.select(text.alias("text"), "verdict").distinct()), "scores")
+    rows = rows.select("page", "host", "path", "text", name.alias("rule"), verdict.alias("verdict"))
+    scored = saved(scores(rows.select("text", "verdict").distinct()), "scores")
     means = {r["verdict"]: r["m"] for r in scored.groupBy("verdict").agg(F.avg("score").alias("m")).collect()}
     limit = F.lit(None).cast("double")
     if means.get("allow") is not None and means.get("block") is not None:
         limit = F.round(F.lit((means["allow"] + means["block"]) / 2), 9)
     rest = scored.filter("verdict is null").select("text", "score", F.when(F.col("score") < limit, "block").otherwise("allow").alias("own"))
-    decided = rows.filter("verdict is not null").withColumn("score", F.lit(None).cast("double"))
-    open_rows = rows.filter("verdict is null").withColumn("text", text).drop("verdict").join(rest, "text")
-    return decided.union(open_rows.select(id_col, "host", "path", "rule", F.col("own").alias("verdict"), "score"))
+    decided = rows.filter("verdict is not null").drop("text").withColumn("score", F.lit(None).cast("double"))
+    open_rows = match_skewed(rows.filter("verdict is null").drop("verdict"), rest, ["text"], "inner")
+    out = decided.union(open_rows.select("page", "host", "path", "rule", F.col("own").alias("verdict"), "score"))
+    return out.select(F.col("page").alias(id_col), "host", "path", "rule", "verdict", "score")
 
 
 def allowed(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """The rows whose URL is allowed, with the columns of ``pages``. Rows with equal ids share a verdict each by URL."""
     key = fresh(pages, "url_text")
-    host, path = parts(F.col(url_col))
-    keyed = pages.withColumn(key, F.struct(host.alias("host"), path.alias("path")))
-    good = judge(pages, rules, id_col, url_col).filter("verdict = 'allow'").select(F.struct("host", "path").alias(key)).distinct()
-    return keyed.join(good, key, "left_semi").drop(key)
+    keyed = pages.withColumn(key, parts(F.col(url_col))[2])
+    texts = keyed.select(F.col(key).alias("text"), F.col(url_col).alias("url"))
+    good = judge(texts, rules, "text", "url").filter("verdict = 'allow'").select(F.col("text").alias(key)).distinct()
+    return match_skewed(keyed, good, [key], "left_semi").drop(key)
 
 
 def duckdb_sql(rules: list[tuple[str, str]], table: str = "pages") -> str:
@@ -157,9 +162,9 @@ WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {table}),
 split AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{UPPER}', '{LOWER}') AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
-ruled AS (SELECT page_id, host, path, {case(1)} AS rule, {case(2)} AS verdict FROM split),
-urls AS (SELECT DISTINCT host || path AS text, verdict FROM ruled),
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, substr(rest, length(regexp_extract(rest, '^[^/?#]*', 0)) + 1) AS tail FROM cut),
+ruled AS (SELECT page_id, host, path, host || tail AS text, {case(1)} AS rule, {case(2)} AS verdict FROM split),
+urls AS (SELECT DISTINCT text, verdict FROM ruled),
 grams AS (
   SELECT text, verdict, substr(repeat(chr(2), {ORDER}) || text || chr(3), i::BIGINT, {ORDER + 1}) AS gram
   FROM (SELECT text, verdict, unnest(range(1, length(text) + 2)) AS i FROM urls)),
@@ -175,4 +180,4 @@ scored AS (
 bound AS (
   SELECT round((avg(score) FILTER (verdict = 'allow') + avg(score) FILTER (verdict = 'block')) / 2, 9) AS edge FROM scored)
 SELECT page_id, host, path, rule, coalesce(ruled.verdict, CASE WHEN score < edge THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled CROSS JOIN bound LEFT JOIN scored ON ruled.verdict IS NULL AND scored.verdict IS NULL AND scored.text = host || path"""
+FROM ruled CROSS JOIN bound LEFT JOIN scored ON ruled.verdict IS NULL AND scored.verdict IS NULL AND scored.text = ruled.text"""

@@ -101,11 +101,12 @@ def brute_urls(pages):
     for key, url in pages:
         rest = url.split("://", 1)[1] if url and "://" in url else ""
         host = re.match(r"[^/?#]*", rest)[0]
-        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        tail = rest[len(host) :]
+        path = re.match(r"[^?#]*", tail)[0]
         host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
         fits = [(r, v) for v, r in URL_RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
-        rows.append((key, host, path, *(max(fits, key=lambda f: len(f[0])) if fits else (None, None))))
-    texts = {(h + p, v) for _, h, p, _, v in rows}
+        rows.append((key, host, path, host + tail, *(max(fits, key=lambda f: len(f[0])) if fits else (None, None))))
+    texts = {(t, v) for _, _, _, t, _, v in rows}
     counts = {"allow": Counter(), "block": Counter()}
     for text, verdict in texts:
         if verdict:
@@ -130,7 +131,7 @@ def brute_urls(pages):
     mean = lambda kind: [s for (_, v), s in scores.items() if v == kind]
     a, b = mean("allow"), mean("block")
     edge = round((sum(a) / len(a) + sum(b) / len(b)) / 2, 9) if a and b else None
-    return [(k, h, p, r, v or ("block" if edge is not None and scores[h + p, None] < edge else "allow")) for k, h, p, r, v in rows]
+    return [(k, h, p, r, v or ("block" if edge is not None and scores[t, None] < edge else "allow")) for k, h, p, t, r, v in rows]
 
 
 def test_urls_match_brute_force(spark):
@@ -143,6 +144,20 @@ def test_urls_match_brute_force(spark):
     assert sorted((r["page_id"] for r in kept.collect()), key=repr) == sorted((r[0] for r in brute_urls(URLS) if r[4] == "allow"), key=repr)
 
 
+def test_what_follows_the_path_decides_too(spark):
+    rows = [(i, f"http://a.com/{i}?good={'yes' * 5}") for i in range(20)] + [(100 + i, f"http://b.net/es/{i}?bad={'no' * 8}") for i in range(20)]
+    rows += [(200, "http://c.org/x?good=yesyesyesyes"), (201, "http://c.org/x?bad=nononononono"), (202, "http://c.org/x#bad=nononononono")]
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()}
+    assert (got[200], got[201], got[202]) == ("allow", "block", "block")
+
+
+def test_an_id_column_may_have_any_name(spark):
+    named = spark.createDataFrame(URLS, "host long, url string")
+    got = urls.judge(named, URL_RULES, id_col="host")
+    want = urls.judge(spark.createDataFrame(URLS, "page_id long, url string"), URL_RULES)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
 def test_urls_without_rows_or_rules(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert urls.judge(none, URL_RULES).count() == 0
