@@ -12,9 +12,10 @@ segments is chosen for each band by the cost of both, from the counts of all doc
 Records that share an entry are candidates, and candidates are verified on the whole sets. A group of records with one
 entry is never expanded into all pairs: first each is held against the group's pivots, links are contracted to
 components, and groups whose records are all in one component are done. What is left is compared tile by tile inside
-the tasks, skipping pairs that are in one component and pairs whose parity sketches differ in more bits than alike sets
-can; only what passes becomes a row. So the cost of a large group of near copies is that of a few pivots, and no link is
-lost.
+the tasks, passing over pairs in one component and pairs whose parity sketches differ in more bits than alike sets can:
+first on the whole sets, in the largest groups of every record, which gives a spanning forest of links there; then, with
+the components known by then, in all groups that are still open, where the few pairs that may be alike become rows and
+are verified. So a large group of near copies costs few rows, and no link between components is lost.
 
 Null text counts as empty; a text without words has an empty set and is linked with nothing. Repeated rows and equal ids
 are treated like any other rows; a null id never becomes a component id unless the whole component has none.
@@ -43,8 +44,10 @@ SEED = 42
 SPAN = 2
 #: Cost of a candidate pair, in index entries.
 PAIR_COST = 50.0
-#: Records of a tile of one group.
-TILE = 256
+#: Records and tokens that a tile of one group holds about.
+TILE, TILE_TOKENS = 256, 1 << 17
+#: Groups of a record that are compared on whole sets.
+LARGEST = 4
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -149,21 +152,20 @@ class Bands:
 
     def sketch_bits(self, size: int) -> int:
         """Bits of the parity sketch: a power of two, several times the differences allowed."""
-        return 1 << max(6, (8 * self.of(size)[0][1].reach).bit_length())
+        return 1 << max(6, (16 * self.of(size)[0][1].reach).bit_length())
 
-    def sketch(self, tokens: np.ndarray) -> bytes:
+    def sketch(self, tokens: np.ndarray) -> np.ndarray:
         """Parity of the tokens that fall on each bit. Sets that differ in d tokens differ in d bits at most."""
         bits = self.sketch_bits(len(tokens))
         odd = np.bincount((mix(tokens ^ _B) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+        return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def folded(sketch: bytes, size: int) -> np.ndarray:
-    """Sketch of fewer bits from one of more: halves are added, parities being additive."""
-    out = np.frombuffer(sketch, np.uint64)
-    while 64 * len(out) > size:
-        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
-    return out
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketch of fewer words from one of more: halves are added, parities being additive."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: int) -> bool:
@@ -224,14 +226,8 @@ def _sets(docs: DataFrame, records: DataFrame, shared: DataFrame, words: int, ba
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("rec", "want", "text")), strict=True)
             found = [(rec, s) for rec, want, text in rows if set_key(s := token_set(text, words)) == want]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([rec for rec, _ in found], pa.int64()),
-                    pa.array([s.tobytes() for _, s in found], pa.binary()),
-                    pa.array([bands.sketch(s) for _, s in found], pa.binary()),
-                ],
-                ["rec", "tokens", "sketch"],
-            )
+            blobs = [pa.array([f(s) for _, s in found], pa.binary()) for f in (bytes, lambda s: bytes(bands.sketch(s)))]
+            yield pa.RecordBatch.from_arrays([pa.array([rec for rec, _ in found], pa.int64()), *blobs], ["rec", "tokens", "sketch"])
 
     return saved(rows.mapInArrow(work, "rec long, tokens binary, sketch binary").dropDuplicates(["rec"]), "sets")
 
@@ -254,48 +250,71 @@ def _against_pivots(labelled: DataFrame, pick, least: int) -> DataFrame:
     return saved(pairs.select(F.col("rec").alias("a"), "b").distinct(), "pairs")
 
 
-def _against_all(labelled: DataFrame, sets: DataFrame, bands: Bands, complete: int) -> DataFrame:
-    """(a, b) of what pivots left open in groups of more than ``complete`` records: all that size and sketch allow.
+def _against_all(labelled: DataFrame, sets: DataFrame, bands: Bands, complete: int, exact: bool) -> DataFrame:
+    """(a, b) of what is open in groups of more than ``complete`` records: all pairs that size and sketch allow.
 
-    Records are dealt to tiles by a hash, and every pair of tiles of a group is a row that one task compares.
+    With ``exact`` links only, a spanning forest of those in the ``LARGEST`` groups of every record. Records are dealt to
+    tiles by a hash, and every pair of tiles of a group is a row that one task compares.
     """
-    sizes = labelled.groupBy("entry").agg(F.count(F.lit(1)).alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    sizes = sizes.filter((F.col("lo") != F.col("hi")) & (F.col("k") > complete)).select("entry", F.ceil(F.col("k") / TILE).cast("int").alias("tiles"))
+    sizes = labelled.groupBy("entry").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    sizes = sizes.filter((F.col("lo") != F.col("hi")) & (F.col("k") > complete))
+    sizes = sizes.select("entry", "k", F.ceil(F.greatest(F.col("k") / TILE, F.col("t") / TILE_TOKENS)).cast("int").alias("tiles"))
     rows = match_skewed(labelled, sizes, ["entry"], "inner").withColumn("tile", F.pmod(F.xxhash64("rec"), F.col("tiles")).cast("int"))
-    rows = saved(match_skewed(rows, sets.select("rec", "sketch"), ["rec"], "inner"), "open")
-    tiles = rows.groupBy("entry", "tiles", "tile").agg(F.collect_list(F.struct("rec", "n", "label", "sketch")).alias("t"))
-    tiles = saved(tiles, "tiles")
+    if exact:
+        place = F.row_number().over(Window.partitionBy("rec").orderBy(F.desc("k"), "entry"))
+        rows = rows.withColumn("place", place).filter(F.col("place") <= LARGEST).drop("place")
+    shown = ["sketch", "tokens"] if exact else ["sketch"]
+    rows = saved(rows.drop("k"), "open").join(sets.select("rec", *shown), "rec")
+    tiles = saved(rows.groupBy("entry", "tiles", "tile").agg(F.collect_list(F.struct("rec", "n", "label", *shown)).alias("t")), "tiles")
     upper = F.explode(F.sequence(F.col("tile"), F.col("tiles") - 1))
     left = tiles.select("entry", F.col("tile").alias("x"), upper.alias("y"), "t")
     right = tiles.select("entry", F.explode(F.sequence(F.lit(0), "tile")).alias("x"), F.col("tile").alias("y"), F.col("t").alias("u"))
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for t, u in zip(frame["t"], frame["u"], strict=True):
-                a, b = compare_tiles(t, u, bands)
-                yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    found = left.join(right, ["entry", "x", "y"]).select("t", "u").mapInPandas(compare, "a long, b long")
-    return saved(found.distinct(), "pairs")
-
-
-def compare_tiles(t, u, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of records of two tiles (rec, n, label, sketch) that may be alike and are not yet in one component."""
-    bits = 8 * min(len(r["sketch"]) for r in (*t, *u))
-    parts = []
-    for tile in (t, u):
-        numbers = [np.array([r[c] for r in tile], np.int64) for c in ("rec", "n", "label")]
-        parts.append((*numbers, np.stack([folded(r["sketch"], bits) for r in tile])))
-    (rec_a, n_a, label_a, sketch_a), (rec_b, n_b, label_b, sketch_b) = parts
-    out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i in range(len(rec_a)):
-        near = (label_a[i] != label_b) & (100 * np.minimum(n_a[i], n_b) >= bands.least * np.maximum(n_a[i], n_b))
-        near = np.flatnonzero(near)
-        apart = np.bitwise_count(sketch_a[i] ^ sketch_b[near]).sum(axis=1, dtype=np.int64)
-        near = near[apart <= bands.distance(n_a[i], n_b[near])]
-        out_a.append(np.full(len(near), rec_a[i]))
-        out_b.append(rec_b[near])
-    return np.concatenate(out_a), np.concatenate(out_b)
+            found = [pair for t, u in zip(frame["t"], frame["u"], strict=True) for pair in compare_tiles(t, u, bands, exact)]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return saved(left.join(right, ["entry", "x", "y"]).select("t", "u").mapInPandas(compare, "a long, b long").distinct(), "pairs")
+
+
+def compare_tiles(t, u, bands: Bands, exact: bool) -> list[tuple[int, int]]:
+    """Pairs of records (rec, n, label, sketch) of two tiles, or of one if both are the same, that may be alike.
+
+    With ``exact`` the records have their tokens, and what comes back are links that join what closer ones did not.
+    """
+    rows = [*t, *u]
+    rec, n, label = (np.array([r[c] for r in rows], np.int64) for c in ("rec", "n", "label"))
+    sketches = [np.frombuffer(r["sketch"], np.uint64) for r in rows]
+    tokens = [np.frombuffer(r["tokens"], np.uint64) for r in rows] if exact else []
+    words = min(map(len, sketches))
+    sketch = np.stack([folded(s, words) for s in sketches])
+    same = rec[0] == rec[len(t)]
+    found = []
+    for i in range(len(t)):
+        at = np.arange(i + 1 if same else len(t), len(t) if same else len(rows))
+        at = at[(label[i] != label[at]) & (100 * np.minimum(n[i], n[at]) >= bands.least * np.maximum(n[i], n[at]))]
+        apart = np.bitwise_count(sketch[i] ^ sketch[at]).sum(axis=1, dtype=np.int64)
+        near = apart <= bands.distance(n[i], n[at])
+        found.append(np.stack([apart[near], np.full(near.sum(), i), at[near]]))
+    pairs = np.concatenate(found, axis=1)
+    pairs = pairs[1:, np.lexsort((rec[pairs[2]], rec[pairs[1]], pairs[0]))].T.tolist()
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    out = []
+    for i, j in pairs:
+        if exact:
+            a, b = root(int(label[i])), root(int(label[j]))
+            if a == b or not alike(tokens[i], tokens[j], bands.least):
+                continue
+            parent[a] = b
+        out.append((max(int(rec[i]), int(rec[j])), min(int(rec[i]), int(rec[j]))))
+    return out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
@@ -336,7 +355,8 @@ def alike_documents(
     for pick in (F.min, F.max):  # after two pivots, groups of three are complete
         more = _verified(_against_pivots(_labelled(shared, links), pick, least), sets, least)
         links = more if links is None else links.union(more)
-    links = links.union(_verified(_against_all(_labelled(shared, links), sets, bands, 3), sets, least))
+    links = links.union(_against_all(_labelled(shared, links), sets, bands, 3, exact=True).toDF("src", "dst"))
+    links = links.union(_verified(_against_all(_labelled(shared, links), sets, bands, 3, exact=False), sets, least))
     star = roots(links).select(F.col("node").alias("rec"), "root")
     member = star.union(star.select(F.col("root").alias("rec"), "root").distinct()).join(records.select("rec", "least"), "rec")
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -100,8 +100,8 @@ def test_alike_sets_share_an_entry(least, pair_cost):
         a, b = np.unique(both[: max(1, n - drop)]), np.unique(np.concatenate([both, rng.integers(1, 1 << 62, add).astype(np.uint64)]))
         if jaccard.alike(a, b, least) and a.tobytes() != b.tobytes():
             assert len(np.intersect1d(bands.entries(a), bands.entries(b)))
-            bits = 8 * min(len(bands.sketch(a)), len(bands.sketch(b)))
-            apart = int(np.bitwise_count(jaccard.folded(bands.sketch(a), bits) ^ jaccard.folded(bands.sketch(b), bits)).sum())
+            words = min(len(bands.sketch(a)), len(bands.sketch(b)))
+            apart = int(np.bitwise_count(jaccard.folded(bands.sketch(a), words) ^ jaccard.folded(bands.sketch(b), words)).sum())
             assert apart <= len(np.setxor1d(a, b)) <= bands.distance(len(a), len(b))
         deletions += sum(band.deletions for _, band in bands.of(n))
     assert deletions or pair_cost < 1e12
