@@ -2,7 +2,8 @@
 
     data/LOAD=<id>/...      files of one change, never rewritten; a load that fails leaves files that no version names
     manifests/<id>          one row per live file: rows, smallest and largest key, partition values
-    filters/<id>            a Bloom filter of the keys of every file of that change, as rows of 32,768 bits
+    filters/<id>            a Bloom filter of the keys of every file of that change, as rows of 32,768 bits; all bits of
+                            a key lie in one row
     loads/<id>              which loads each file of that change holds rows of
     versions/0000000012.json  names the manifest; published by one rename that replaces nothing
 
@@ -117,12 +118,15 @@ class VersionedTable:
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def _write_filters(self, written: DataFrame, files: DataFrame, change: str) -> None:
-        keys = written.select("file", *self.keys).join(files.select("file", _slots("rows").alias("slots")), "file")
-        slots = keys.select("file", F.explode(_probes(self.keys, F.col("slots"))).alias("slot"))
-        bits = slots.groupBy("file", F.expr(f"slot div {BITMAP}").alias("part")).agg(
-            F.expr(f"bitmap_construct_agg(slot % {BITMAP})").alias("bits")
-        )
-        bits.write.mode("overwrite").parquet(f"{self.path}/filters/{change}")
+        # Grouped by one number for file and row: sorting the bits by names of files, which begin alike, is slow. Two
+        # rows with the same number would share their bits, which keeps no file out that holds a key.
+        row = F.xxhash64("file", "part").alias("row")
+        sized = files.select("file", _parts("rows").alias("parts"))
+        keys = written.select("file", *self.keys).join(sized, "file").withColumn("part", _part(self.keys, F.col("parts")))
+        bits = keys.select(row, F.explode(F.array(*_probes(self.keys))).alias("bit"))
+        rows = bits.groupBy("row").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
+        named = sized.select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).select("file", "part", row)
+        rows.join(named, "row").select("file", "part", "bits").write.mode("overwrite").parquet(f"{self.path}/filters/{change}")
 
     def _publish(self, based_on: int, files: DataFrame, schema: T.StructType, change: str, **facts) -> int:
         files.write.mode("overwrite").parquet(f"{self.path}/manifests/{change}")
@@ -203,16 +207,16 @@ class VersionedTable:
         bounds = self._bounds(live)
         key, low, high = F.col("_key"), F.col("_low"), F.col("_high")
         keys = rows.select(*self.keys).distinct().withColumn("_key", F.struct(*self.keys))
-        ranges = live.select(F.col("file").alias("_file"), F.col("lo").alias("_low"), F.col("hi").alias("_high"), _slots("rows").alias("_slots"))
+        ranges = live.select(F.col("file").alias("_file"), F.col("lo").alias("_low"), F.col("hi").alias("_high"), _parts("rows").alias("_parts"))
         ranges = ranges.withColumn("_cell", F.explode(F.sequence(_cell(low, bounds), _cell(high, bounds))))
         near = keys.withColumn("_cell", _cell(key, bounds)).join(ranges, "_cell").filter((key >= low) & (key <= high))
-        near = near.select(F.col("_file").alias("file"), "_key", _probes(self.keys, F.col("_slots")).alias("slots"))
-        probes = near.select("file", "_key", F.size("slots").alias("wanted"), F.explode("slots").alias("slot"))
-        probes = probes.withColumns({"part": F.expr(f"slot div {BITMAP}"), "bit": F.expr(f"cast(slot % {BITMAP} as int)")})
-        byte = F.conv(F.hex(F.substring("bits", F.expr("bit div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
-        met = probes.join(self._of_changes(live, "filters"), ["file", "part"]).withColumn("byte", byte)
-        met = met.filter(F.expr("shiftright(byte, bit % 8) & 1 = 1"))
-        return met.groupBy("file", "_key", "wanted").agg(F.count(F.lit(1)).alias("n")).filter("n = wanted").select("file").distinct()
+        # One row per key and file: the key's bits are asked of one row of the file's filter.
+        bits = [p.alias(f"_bit{i}") for i, p in enumerate(_probes(self.keys))]
+        probes = near.select(F.col("_file").alias("file"), _part(self.keys, F.col("_parts")).alias("part"), *bits)
+        met = probes.join(self._of_changes(live, "filters"), ["file", "part"])
+        for i in range(PROBES):
+            met = met.filter(_is_set(F.col("bits"), F.col(f"_bit{i}")))
+        return met.select("file").distinct()
 
     def _of_changes(self, live: DataFrame, what: str) -> DataFrame:
         """Index rows of the changes that still have live files (one name per change to the driver)."""
@@ -255,21 +259,33 @@ def _new(load: str | None) -> str:
 
 
 def _file() -> Column:
-    return F.regexp_extract("_metadata.file_path", "/data/(LOAD=.*)$", 1)
+    return F.concat(F.lit("LOAD="), F.substring_index("_metadata.file_path", "/data/LOAD=", -1))
 
 
 def _groups(df: DataFrame, group: Sequence[str | Column]) -> DataFrame:
     return df.withColumns({f"g{i}": F.col(g) if isinstance(g, str) else g for i, g in enumerate(group)})
 
 
-def _slots(rows: str) -> Column:
-    """Bits of the filter of a file with so many rows: whole bitmaps."""
-    return (F.ceil(F.col(rows) * BITS_PER_KEY / BITMAP) * BITMAP).cast("long")
+def _parts(rows: str) -> Column:
+    """Rows of the filter of a file with so many rows."""
+    return F.ceil(F.col(rows) * BITS_PER_KEY / BITMAP).cast("long")
 
 
-def _probes(keys: Sequence[str], slots: Column) -> Column:
-    """Bits that a key sets in a filter of so many."""
-    return F.array_distinct(F.array(*[F.pmod(F.xxhash64(F.lit(i), *keys), slots) for i in range(PROBES)]))
+def _part(keys: Sequence[str], parts: Column) -> Column:
+    """The row of a filter of so many that holds the bits of a key."""
+    return F.pmod(F.xxhash64(F.lit(PROBES), *keys), parts)
+
+
+def _probes(keys: Sequence[str]) -> list[Column]:
+    """Bits that a key sets in its row of a filter, cut from one hash."""
+    width = BITMAP.bit_length() - 1
+    h = F.xxhash64(*keys)
+    return [F.shiftrightunsigned(h, i * width).bitwiseAND(F.lit(BITMAP - 1).cast("long")) for i in range(PROBES)]
+
+
+def _is_set(bits: Column, bit: Column) -> Column:
+    byte = F.ascii(F.decode(F.substring(bits, F.shiftright(bit, 3).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    return F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
 
 
 def _cell(key: Column, bounds: list) -> Column:

@@ -155,3 +155,11 @@ def test_shared_files(spark, tmp_path):
         with shared_files.lease(spark, f"{tmp_path}/lease", "three", take_over=True):
             pass
     assert shared_files.names(spark, str(tmp_path)) == ["d"]
+
+
+def test_a_key_asks_one_row_of_a_filter(spark, tmp_path, base):
+    kept = VersionedTable(spark, str(tmp_path / "t"), ["id"], rows_per_file=1000)
+    kept.append(base)
+    plan = kept.files_of(base.select("id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1  # the ranges' cells; the bits of a key are not spread over rows
+    assert {r["file"] for r in kept.files_of(base.select("id")).collect()} == files(kept)
