@@ -4,6 +4,7 @@
     manifests/<id>          one row per live file: rows, smallest and largest key, partition values
     filters/<id>            a Bloom filter of the keys of every file of that change, as rows of 32,768 bits; all bits of
                             a key lie in one row
+    increments/<id>         the newest rows of a merged increment, which a merge reads several times
     loads/<id>              which loads each file of that change holds rows of
     versions/0000000012.json  names the manifest; published by one rename that replaces nothing
 
@@ -168,7 +169,7 @@ class VersionedTable:
             files = self._write(latest_by_key(increment, self.keys, order_by), change)
             return self._publish(0, files, increment.schema, change, load=load, rewritten=0)
         schema, live = self._schema(version), self.manifest(version)
-        fresh = latest_by_key(increment, self.keys, order_by)
+        fresh = self._kept(latest_by_key(increment, self.keys, order_by), f"increments/{change}")
         touched = self._kept(self.files_of(fresh, version), f"manifests/{change}-touched")
         old = self._read(touched, schema)
         merged = latest_by_key(old.unionByName(fresh, allowMissingColumns=True), self.keys, order_by)

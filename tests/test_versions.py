@@ -163,3 +163,12 @@ def test_a_key_asks_one_row_of_a_filter(spark, tmp_path, base):
     plan = kept.files_of(base.select("id"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate ") == 1  # the ranges' cells; the bits of a key are not spread over rows
     assert {r["file"] for r in kept.files_of(base.select("id")).collect()} == files(kept)
+
+
+def test_an_increment_is_worked_out_once(spark, tmp_path, base):
+    kept = VersionedTable(spark, str(tmp_path / "t"), ["id"])
+    kept.append(base)
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda v: (seen.add(1), v)[1], "string").asNondeterministic()
+    kept.merge(change(spark, range(0, 50), 1).withColumn("v", mark("v")), ["seq"])
+    assert seen.value == 50
