@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 
 from dateutil.relativedelta import relativedelta
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import has_text, map_code, map_unit, period, ratio, strip_zeros
@@ -19,7 +19,6 @@ from millrace.operators.reshape import measure_reshape
 from millrace.operators.snapshots import (
     latest_by_key,
     snapshot_overall,
-    snapshot_per_group,
     snapshot_two_stage,
 )
 
@@ -156,31 +155,42 @@ def info_records(
     an amount row and a percent row appear, but null key parts no longer drop a condition.
     """
     in_force = index.filter(F.col("valid_to") == F.lit(OPEN_END))
-    records = info.join(org, "record").join(material, "material")
-    found = records.join(in_force, ["supplier", "material", "purchasing_org", "record_type", "plant"], "left")
-    keys = [
-        "condition_no", "record", "supplier", "material", "purchasing_org", "record_type", "plant", "country", "region",
-        "net_price", "effective_price", "currency", "material_group", "valid_from", "valid_to",
-    ]
-    # Conditions do not change which record is the newest, so they stay out of that table's plan altogether.
-    newest = snapshot_per_group(found.filter(F.col("valid_from").isNotNull()), ["record"], "valid_from")
+    at = ["supplier", "material", "purchasing_org", "record_type", "plant"]
     report = [
         "record", "supplier", "material", "purchasing_org", "plant", "country", "region", "net_price",
         "effective_price", "currency", "material_group", "valid_from",
     ]
+    def recorded(rows: DataFrame) -> DataFrame:
+        # The index leads, so that wide records are shuffled only where an index row wants them.
+        wanted = rows.join(info, ["supplier", "material"])
+        return wanted.join(org, ["record", "purchasing_org", "record_type", "plant"]).join(material, "material")
+
+    # Conditions do not change which record is the newest, so the index is cut to its newest day before the join.
+    # What is left has one row per record and plant, so that a ranking holds no large group.
+    days = in_force.groupBy(*at).agg(F.max("valid_from").alias("valid_from")).filter(F.col("valid_from").isNotNull())
+    rank = F.rank().over(Window.partitionBy("record").orderBy(F.desc("valid_from")))
+    newest = recorded(days).withColumn("_rank", rank).filter(F.col("_rank") == 1)
     latest = newest.select(*report).distinct().join(supplier, "supplier", "left").join(region, ["country", "region"])
 
-    classed = found.join(amounts, "condition_no").withColumn("class", map_code("class", labels, F.col("class")))
+    keys = [
+        "condition_no", "record", "supplier", "material", "purchasing_org", "record_type", "plant", "country", "region",
+        "net_price", "effective_price", "currency", "material_group", "valid_from", "valid_to",
+    ]
+    # Amounts are put side by side and joined to the narrow index first; the wide records meet only what is left.
+    classed = amounts.withColumn("class", map_code("class", labels, F.col("class")))
     percent = F.col("unit") == "%"
     cells = [F.min(F.when(percent & (F.col("class") == c), F.col("value"))).alias(c) for c in percent_classes]
-    conditions = classed.groupBy(*keys).agg(
+    priced = classed.groupBy("condition_no").agg(
         F.min(F.when(~percent, F.col("unit"))).alias("condition_currency"),
         F.min(F.when(~percent & (F.col("class") == base_class), F.col("value"))).alias(base_class),
         *cells,
         F.count(F.when(percent, 1)).alias("_percents"),
         F.count(F.when(~percent, 1)).alias("_amounts"),
     )
-    both = conditions.filter((F.col("_percents") > 0) & (F.col("_amounts") > 0)).drop("_percents", "_amounts")
+    both = priced.filter((F.col("_percents") > 0) & (F.col("_amounts") > 0)).drop("_percents", "_amounts")
+    found = recorded(in_force.join(both, "condition_no"))
+    measures = ["condition_currency", base_class, *percent_classes]
+    both = found.select(*keys, *measures).distinct()
     return latest, both
 
 
