@@ -219,11 +219,10 @@ def _info(spark, sf_dir):
         ("FRA1", F.lit("%"), F.col("l_discount"), F.col("l_linenumber") <= 3),
         ("ZARA", F.lit("%"), F.col("l_tax"), F.col("l_linenumber") == 2),
     ]
-    parts = [
-        lines.filter(cond).select("condition_no", F.lit(c).alias("class"), unit.alias("unit"), value.alias("value"))
-        for c, unit, value, cond in rows
+    cells = [
+        F.when(cond, F.struct(F.lit(c).alias("class"), unit.alias("unit"), value.alias("value"))) for c, unit, value, cond in rows
     ]
-    amounts = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    amounts = lines.select("condition_no", F.inline(F.filter(F.array(*cells), lambda r: r.isNotNull())))
     names = s.select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("supplier_name"))
     geo = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey").join(
         table(spark, sf_dir, "region"), "r_regionkey"
