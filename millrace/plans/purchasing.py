@@ -107,8 +107,12 @@ def requisitions(
     ``planner``: planner_code, plant, planner. Newest version per item, with the status and not flagged ``X`` (a
     null flag counts as not deleted). Account assignments multiply the sums of an item, one share per assignment.
     """
-    newest = latest_by_key(req, ["requisition", "position"], list(loaded))
-    live = newest.filter((F.col("status") == status) & ~F.coalesce(F.col("deleted").contains("X"), F.lit(False)))
+    is_live = (F.col("status") == status) & ~F.coalesce(F.col("deleted").contains("X"), F.lit(False))
+    # Rows that are not live only compete for their item, so they travel to it without their values.
+    ranked = {"requisition", "position", *loaded}
+    rest = [c for c in req.columns if c not in {*ranked, "status", "deleted"}]
+    lean = req.select(*[c for c in req.columns if c in ranked], is_live.alias("_live"), *[F.when(is_live, F.col(c)).alias(c) for c in rest])
+    live = latest_by_key(lean, ["requisition", "position"], list(loaded)).filter("_live")
     # Only the number of assignments matters, so they are counted before the join instead of multiplying rows.
     shares = assign.groupBy("requisition", "position").agg(F.count(F.lit(1)).alias("_n"))
     joined = live.join(planner, ["planner_code", "plant"], "left").join(shares, ["requisition", "position"], "left")
