@@ -21,11 +21,12 @@ from millrace.plans.planning import (
     receipts_for_planning,
     reuse_november,
     stock_by_group,
+    stock_positions,
     unconstrained_demand,
     unit_costs,
 )
 from millrace.plans.projection import finish_projection, project_stock, value_projection
-from millrace.plans.purchasing import delivery_plan, goods_receipts, order_views, requisitions
+from millrace.plans.purchasing import delivery_plan, goods_receipts, info_records, order_views, requisitions
 from millrace.plans.refresh import refresh_fact, refresh_silver
 from millrace.plans.weekly import weekly_sales
 from millrace.sources.registry import TableSpec
@@ -347,3 +348,67 @@ def test_revised_imports_replace_or_stay(spark):
     got = sorted(((r["T"], r["CANTIDAD"], r["VALOR_COMERCIAL"], r["ANIO"]) for r in imports_silver(df, text=["T"]).collect()), key=repr)
     assert got == sorted([("r", 6.0, 10.0, 2024), (None, 1.0, None, 2024)], key=repr)
     assert imports_silver(df, text=["T"], keep_revisions=True).count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _info_inputs(spark):
+    info = spark.createDataFrame([("r", "s", "m", 1, 2), ("q", "s", "n", 1, 2)], "record string, supplier string, material string, country int, region int")
+    org = spark.createDataFrame(
+        [(r, p, "P1", "0", v, v, "USD") for r in "rq" for p, v in (("a", 1.0), ("b", 2.0))],
+        "record string, plant string, purchasing_org string, record_type string, net_price double, effective_price double, currency string",
+    )
+    material = spark.createDataFrame([("m", "g"), ("n", "h")], "material string, material_group string")
+    rows = [("m", "a", 1, "c1"), ("m", "a", 3, "c2"), ("m", "b", 3, "c3"), ("m", "b", 3, "c3"), ("n", "a", 2, "c4"), ("n", "b", 1, None), ("n", "b", None, "c5")]
+    index = spark.createDataFrame(
+        [("s", m, "P1", "0", p, d and date(2024, 1, d), date(9999, 12, 31), c) for m, p, d, c in rows],
+        "supplier string, material string, purchasing_org string, record_type string, plant string, valid_from date, valid_to date, condition_no string",
+    )
+    amounts = spark.createDataFrame(
+        [(c, k, u, v) for c in ("c1", "c3", "c4") for k, u, v in (("PB00", "USD", 5.0), ("FRA1", "%", 1.0)) if (c, k) != ("c4", "FRA1")],
+        "condition_no string, class string, unit string, value double",
+    )
+    supplier = spark.createDataFrame([("s", "name")], "supplier string, supplier_name string")
+    region = spark.createDataFrame([(1, 2, "c", "r")], "country int, region int, country_name string, region_name string")
+    return info, org, material, index, amounts, supplier, region
+
+
+def test_info_records_meet_the_index_once(spark):
+    latest, conditions = info_records(*_info_inputs(spark))
+    assert sorted((r["record"], r["plant"], r["valid_from"].day) for r in latest.collect()) == [("q", "a", 2), ("r", "a", 3), ("r", "b", 3)]
+    assert sorted((r["condition_no"], r["PRECIO_BASE"], r["FLETE"]) for r in conditions.collect()) == [("c1", 5.0, 1.0), ("c3", 5.0, 1.0)]
+    # The index is read once for the newest days; the ranking reads no side again.
+    assert _plan(latest).count("Join") == 5
+
+
+def test_amounts_are_put_side_by_side_before_records_are_met(spark):
+    plan = _plan(info_records(*_info_inputs(spark))[1]).splitlines()
+    sums = [i for i, line in enumerate(plan) if "PRECIO_BASE" in line and "Aggregate [condition_no" in line and "min(" in line]
+    assert sums and max(i for i, line in enumerate(plan) if "Join" in line and "condition_no" in line) < sums[-1]
+
+
+def test_requisitions_that_are_not_live_travel_without_values(spark):
+    columns = "requisition int, position int, status string, deleted string, plant string, planner_code int, unit_of_measure string, supplier string, material string, ordered_qty double, release_value double, valuation_price double, requested_qty double, loaded_at int"
+    rows = [(1, 1, "5", None, 1), (1, 1, "2", None, 2), (2, 1, "2", None, 1), (2, 1, "5", "", 2), (3, 1, "5", "X", 1), (4, 1, None, None, 1)]
+    req = spark.createDataFrame([(q, p, s, d, "P", 7, "ST", "01", "02", 1.0, 2.0, 3.0, 4.0, t) for q, p, s, d, t in rows], columns)
+    assign = spark.createDataFrame([(2, 1), (2, 1)], "requisition int, position int")
+    planner = spark.createDataFrame([(7, "P", "n")], "planner_code int, plant string, planner string")
+    out = requisitions(req, assign, planner, ids=[])
+    assert sorted((r["requisition"], r["unit"], r["ordered"], r["planner"]) for r in out.collect()) == [(2, "AMOUNT", 4.0, "n"), (2, "PIECES", 2.0, "n")]
+    window = _plan(out).split("Window [", 1)[1]
+    assert "CASE WHEN" in window and "supplier" in window.split("CASE WHEN", 1)[1].split("LogicalRDD")[0]
+
+
+def test_stock_values_are_gathered_before_rows_double(spark):
+    rows = [(1, "OWN", 2, 6), (1, "CONSIGNED", 2, 8), (1, "CONSIGNED", 2, 8), (None, "OWN", None, 4), (2, "OWN", 0, 3), (2, "CONSIGNED", -1, 0)]
+    stock = spark.createDataFrame([(i, date(2024, 1, 1), o, u, v) for i, o, u, v in rows], "item int, month date, ownership string, units int, value int")
+    fiscal = spark.createDataFrame([(1, date(2024, 1, 1), 5.0), (2, date(2024, 1, 1), 0.0)], "item int, month date, fiscal_price double")
+    start, _ = stock_positions(stock, stock, fiscal)
+    got = sorted(((r["item"], r["concept"], r["stock"]) for r in start.collect()), key=str)
+    assert got == sorted(
+        [(1, "PIECES", 2.0), (1, "AMOUNT", 6.0), (1, "AMOUNT", 10.0), (None, "PIECES", None), (None, "AMOUNT", None),
+         (2, "PIECES", 0.0), (2, "PIECES", -1.0), (2, "AMOUNT", 0.0)], key=str,
+    )
+    assert "Generate inline" in _plan(start).split("Aggregate", 1)[0]  # the rows double last
