@@ -101,6 +101,23 @@ def test_word_memory_as_the_library(words, texts):
     assert got == [[*words.lib.encode(t, add_special_tokens=False).ids, 2] for t in texts]
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_words_beside_marks_and_line_ends_share_calls(file):
+    new = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnrst"]
+    texts = [" ".join(f"x{w}.\n{w.upper()} y{w}***" for w in new), "a .\nb", "c .\n d", "e_\nf g.\n\nh i\nj é.\nÜ k.\n5", "x.\n'S"]
+    words, calls = WordTokenizer(file), []
+
+    class Counted:
+        def encode_batch_fast(self, given, **settings):
+            calls.extend(given)
+            return Tokenizer.from_file(file).encode_batch_fast(given, **settings)
+
+    words.lib = Counted()
+    got = [words.ids(x).tolist() for x in words.encode_all(texts)]
+    assert got == [Tokenizer.from_file(file).encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) < len(new) / 3
+
+
 def ids_of(file, text):
     lib = Tokenizer.from_file(file)
     return np.array([*lib.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
