@@ -28,6 +28,8 @@ CONDITION_LABELS = {"PB00": "PRECIO_BASE", "FRA1": "FLETE", "FRA2": "EMPAQUE", "
 PERCENT_CONDITIONS = ["ADUANA", "EMPAQUE", "FLETE", "P000", "ZARA", "ZFIM", "ZFNM"]
 # Fixed value: end of validity of the conditions in force.
 OPEN_END = date(9999, 12, 31)
+# Tasks of a stage that holds joins, sums and rankings of an item at once, for each shuffle partition.
+FINER = 4
 
 
 def service_numbers(history: DataFrame, entry_sheets: DataFrame, kind: str = "D") -> DataFrame:
@@ -60,9 +62,14 @@ def po_indicators(
 
     Quantities are summed; prices and rates averaged; missing ones are 0, so the local amount of a foreign order's
     piece row is 0 as well. Items of type ``9`` are services and take the service number as material.
+
+    The services, the sums and what follows on the key of an item run in one stage, where a task holds them all at
+    once. So their rows are dealt to ``FINER`` times the session's shuffle partitions.
     """
     lines = header.join(schedule.distinct(), "document", "left").join(item, ["document", "position"], "left")
-    planned = lines.join(planning, ["material", "plant"], "left").join(services, ["document", "position"], "left")
+    parts = FINER * int(header.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.join(planning, ["material", "plant"], "left").repartition(parts, "document", "position")
+    planned = dealt.join(services, ["document", "position"], "left")
     is_service = F.col("item_type").eqNullSafe("9")
     facts = planned.withColumns(
         {

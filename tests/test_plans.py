@@ -26,7 +26,7 @@ from millrace.plans.planning import (
     unit_costs,
 )
 from millrace.plans.projection import finish_projection, project_stock, value_projection
-from millrace.plans.purchasing import delivery_plan, goods_receipts, info_records, order_views, requisitions
+from millrace.plans.purchasing import delivery_plan, goods_receipts, info_records, order_views, po_indicators, requisitions
 from millrace.plans.refresh import refresh_fact, refresh_silver
 from millrace.plans.weekly import weekly_sales
 from millrace.sources.registry import TableSpec
@@ -412,3 +412,24 @@ def test_stock_values_are_gathered_before_rows_double(spark):
          (2, "PIECES", 0.0), (2, "PIECES", -1.0), (2, "AMOUNT", 0.0)], key=str,
     )
     assert "Generate inline" in _plan(start).split("Aggregate", 1)[0]  # the rows double last
+
+
+def test_items_are_dealt_to_more_tasks_than_shuffle_partitions(spark):
+    header = spark.createDataFrame(
+        [(f"d{i}", date(2024, 1, 1), "s", "P", "MXN", 1.0, " R ") for i in range(50)],
+        "document string, document_date date, supplier string, plant string, currency string, exchange_rate double, release_state string",
+    )
+    schedule = header.select("document", F.lit(1).alias("position"), F.lit(1).alias("schedule_line"), F.lit(date(2024, 2, 1)).alias("delivery_date"), F.lit(2.0).alias("scheduled_qty"))
+    item = header.select(
+        "document", F.lit(1).alias("position"), F.lit("7").alias("material"), F.lit("0").alias("item_type"),
+        F.lit("ST").alias("price_unit"), F.lit(3.0).alias("net_price"), F.lit(6.0).alias("net_value"), F.lit("G").alias("material_group"),
+    )
+    planning = spark.createDataFrame([("7", "P", "p")], "material string, plant string, planner string")
+    services = spark.createDataFrame([("d1", 1, "S1")], "document string, position int, service string")
+    supplier = spark.createDataFrame([("s", "name")], "supplier string, supplier_name string")
+    indicators = po_indicators(header, schedule, item, planning, services, supplier, ids=["material_group"])
+    _, views = order_views(indicators, planning.select(F.col("material").alias("material_id"), "plant", F.lit("t").alias("material_text")))
+    assert "hashpartitioning(document" in (plan := views._jdf.queryExecution().executedPlan().toString())
+    finer = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [line for line in plan.splitlines() if "hashpartitioning(document" in line and f", {finer})" in line]
+    assert views.count() == 50 and views.agg(F.avg("price")).first()[0] == 3.0
