@@ -237,7 +237,14 @@ def _labelled(shared: DataFrame, links: DataFrame | None) -> DataFrame:
     if links is None:
         return shared.withColumn("label", F.col("rec"))
     known = roots(links).select(F.col("node").alias("rec"), "root")
-    return saved(match_skewed(shared, known, ["rec"]).select("entry", "rec", "n", F.coalesce("root", "rec").alias("label")), "labelled")
+    # A record has no more entries than its own set asks for, so no record is a hot key.
+    return saved(shared.join(known, "rec", "left").select("entry", "rec", "n", F.coalesce("root", "rec").alias("label")), "labelled")
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """Rows of the groups whose records are in several components. Components only grow, so other groups stay done."""
+    ends = labelled.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return saved(labelled.join(ends.filter("lo <> hi").select("entry"), "entry", "left_semi"), "undone")
 
 
 def _against_pivots(labelled: DataFrame, pick, least: int) -> DataFrame:
@@ -351,12 +358,14 @@ def alike_documents(
     records = _records(docs, words, bands)
     shared = _shared(records)
     sets = _sets(docs, records, shared, words, bands)
-    links = None
-    for pick in (F.min, F.max):  # after two pivots, groups of three are complete
-        more = _verified(_against_pivots(_labelled(shared, links), pick, least), sets, least)
-        links = more if links is None else links.union(more)
-    links = links.union(_against_all(_labelled(shared, links), sets, bands, 3, exact=True).toDF("src", "dst"))
-    links = links.union(_verified(_against_all(_labelled(shared, links), sets, bands, 3, exact=False), sets, least))
+    links = _verified(_against_pivots(_labelled(shared, None), F.min, least), sets, least)
+    # After two pivots, groups of three are complete. Each step reads only what the one before has left open.
+    undone = _open(_labelled(shared, links))
+    links = links.union(_verified(_against_pivots(undone, F.max, least), sets, least))
+    undone = _open(_labelled(undone.drop("label"), links))
+    links = links.union(_against_all(undone, sets, bands, 3, exact=True).toDF("src", "dst"))
+    undone = _open(_labelled(undone.drop("label"), links))
+    links = links.union(_verified(_against_all(undone, sets, bands, 3, exact=False), sets, least))
     star = roots(links).select(F.col("node").alias("rec"), "root")
     member = star.union(star.select(F.col("root").alias("rec"), "root").distinct()).join(records.select("rec", "least"), "rec")
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))

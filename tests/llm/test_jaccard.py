@@ -107,3 +107,9 @@ def test_alike_sets_share_an_entry(least, pair_cost):
     assert deletions or pair_cost < 1e12
     for band in bands.bands:
         assert band.segments + band.deletions == band.reach + 1
+
+
+def test_groups_in_one_component_are_not_read_again(spark):
+    rows = [(1, 10, 5, 10), (1, 11, 5, 10), (2, 10, 5, 10), (2, 12, 5, 12), (3, 13, 5, 13), (3, 14, 5, 13)]
+    undone = jaccard._open(spark.createDataFrame(rows, "entry long, rec long, n long, label long"))
+    assert sorted(map(tuple, undone.select("entry", "rec", "n", "label").collect())) == rows[2:4]
