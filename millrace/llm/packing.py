@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import memo, saved, with_small_batches
-from millrace.llm.token_ids import WordTokenizer
+from millrace.llm.token_ids import WordTokenizer, id_type
 
 #: Pieces of one length that are ranked together.
 RANKED = 4096
@@ -168,7 +168,7 @@ def ids_crc32(ids: Column, tokenizer_file: str) -> Column:
 
     @F.pandas_udf("long")
     def crc(raw: pd.Series) -> pd.Series:
-        dtype = memo(WordTokenizer, tokenizer_file).dtype
+        dtype = memo(id_type, tokenizer_file)
         return pd.Series([zlib.crc32(np.frombuffer(r, dtype).astype("<u4")) for r in raw], dtype="int64")
 
     return crc(ids)

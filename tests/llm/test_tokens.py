@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import packing, pieces, records
 from millrace.llm.queries import QUERIES
-from millrace.llm.token_ids import WordTokenizer
+from millrace.llm.token_ids import WordTokenizer, id_type
 from millrace.sources.workspace import new_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -118,6 +118,34 @@ def test_words_beside_marks_and_line_ends_share_calls(file):
     assert len(calls) < len(new) / 3
 
 
+def test_memory_of_words_is_bounded():
+    words = WordTokenizer(FILES[1])
+    for first in (0, 1, 2, 3):
+        words.encode_all([" ".join(f"x{i:x}" for i in range(first * 210_000, (first + 1) * 210_000))])
+    assert len(words.parts.new) + len(words.parts.old) < 500_000
+
+
+class Asked(dict):
+    """Counts how often it is asked."""
+
+    asked = 0
+
+    def get(self, *args):
+        Asked.asked += 1
+        return super().get(*args)
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_a_part_of_a_batch_is_looked_up_once(file):
+    words, texts = WordTokenizer(file), ["a b c " * 50 + "d", "c  b a\n", " b", "", "b c " * 99 + "e"]
+    words.parts.new = Asked()
+    got = [words.ids(x).tolist() for x in words.encode_all(texts)]
+    assert got == [words.lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Asked.asked < 100
+    assert id_type(file) == words.dtype
+    Asked.asked = 0
+
+
 def ids_of(file, text):
     lib = Tokenizer.from_file(file)
     return np.array([*lib.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
