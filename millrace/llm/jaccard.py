@@ -208,13 +208,15 @@ def _records(docs: DataFrame, words: int, bands: Bands) -> DataFrame:
 
 
 def _shared(records: DataFrame) -> DataFrame:
-    """(entry, rec, n) of the entries that several records have."""
+    """(entry, rec, n, pivot) of the entries that several records have; a frequent entry has a pivot for each of its pieces."""
     entries = records.select("rec", "n", F.explode("entries").alias("entry"))
     heavy = F.broadcast(heavy_keys(entries, ["entry"]).withColumnRenamed("hash", "h"))  # 8 x partitions rows at most
     cut = entries.withColumn("h", key_hash(["entry"])).join(heavy, "h", "left").drop("h")
     cut = cut.withColumn("piece", F.pmod(F.xxhash64("rec"), F.coalesce("pieces", F.lit(1))))
-    count = F.count(F.lit(1)).over(Window.partitionBy("entry", "piece"))
-    return saved(cut.withColumn("c", count).filter("c > 1 or pieces > 1").select("entry", "rec", "n"), "shared")
+    piece = Window.partitionBy("entry", "piece")
+    first = F.min(F.struct("rec", "n", F.col("rec").alias("label"))).over(piece)
+    cut = cut.withColumn("c", F.count(F.lit(1)).over(piece)).withColumn("pivot", first)
+    return saved(cut.filter("c > 1 or pieces > 1").select("entry", "rec", "n", "pivot"), "shared")
 
 
 def _sets(docs: DataFrame, records: DataFrame, shared: DataFrame, words: int, bands: Bands) -> DataFrame:
@@ -232,41 +234,45 @@ def _sets(docs: DataFrame, records: DataFrame, shared: DataFrame, words: int, ba
     return saved(rows.mapInArrow(work, "rec long, tokens binary, sketch binary").dropDuplicates(["rec"]), "sets")
 
 
-def _labelled(shared: DataFrame, links: DataFrame | None) -> DataFrame:
-    """``shared`` with the component of every record as far as it is known."""
-    if links is None:
-        return shared.withColumn("label", F.col("rec"))
+def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """(entry, rec, n, label): ``shared`` with the component of every record as far as it is known."""
     known = roots(links).select(F.col("node").alias("rec"), "root")
     # A record has no more entries than its own set asks for, so no record is a hot key.
     return saved(shared.join(known, "rec", "left").select("entry", "rec", "n", F.coalesce("root", "rec").alias("label")), "labelled")
 
 
 def _open(labelled: DataFrame) -> DataFrame:
-    """Rows of the groups whose records are in several components. Components only grow, so other groups stay done."""
-    ends = labelled.groupBy("entry").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return saved(labelled.join(ends.filter("lo <> hi").select("entry"), "entry", "left_semi"), "undone")
+    """Rows of the groups whose records are in several components, with the ``pivot``, records and tokens of the group.
+
+    Components only grow, so other groups stay done.
+    """
+    ends = labelled.groupBy("entry").agg(
+        F.max(F.struct("rec", "n", "label")).alias("pivot"),
+        F.count(F.lit(1)).alias("k"),
+        F.sum("n").alias("t"),
+        F.min("label").alias("lo"),
+        F.max("label").alias("hi"),
+    )
+    return saved(labelled.join(ends.filter("lo <> hi").drop("lo", "hi"), "entry"), "undone")
 
 
-def _against_pivots(labelled: DataFrame, pick, least: int) -> DataFrame:
+def _against_pivots(rows: DataFrame, least: int) -> DataFrame:
     """(a, b) of every record a and the pivot b of each of its groups, where they are not yet in one component."""
-    chosen = pick(F.struct("rec", "n", "label"))
-    heads = labelled.groupBy("entry").agg(chosen.alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    heads = heads.filter("lo <> hi").select("entry", F.col("p.rec").alias("b"), F.col("p.n").alias("m"), F.col("p.label").alias("l"))
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * least
-    pairs = match_skewed(labelled, heads, ["entry"], "inner").filter((F.col("label") != F.col("l")) & near)
-    return saved(pairs.select(F.col("rec").alias("a"), "b").distinct(), "pairs")
+    m = F.col("pivot.n")
+    near = F.least("n", m) * 100 >= F.greatest("n", m) * least
+    pairs = rows.filter((F.col("label") != F.col("pivot.label")) & near)
+    return saved(pairs.select(F.col("rec").alias("a"), F.col("pivot.rec").alias("b")).distinct(), "pairs")
 
 
-def _against_all(labelled: DataFrame, sets: DataFrame, bands: Bands, complete: int, exact: bool) -> DataFrame:
+def _against_all(undone: DataFrame, sets: DataFrame, bands: Bands, complete: int, exact: bool) -> DataFrame:
     """(a, b) of what is open in groups of more than ``complete`` records: all pairs that size and sketch allow.
 
     With ``exact`` links only, a spanning forest of those in the ``LARGEST`` groups of every record. Records are dealt to
     tiles by a hash, and every pair of tiles of a group is a row that one task compares.
     """
-    sizes = labelled.groupBy("entry").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("t"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    sizes = sizes.filter((F.col("lo") != F.col("hi")) & (F.col("k") > complete))
-    sizes = sizes.select("entry", "k", F.ceil(F.greatest(F.col("k") / TILE, F.col("t") / TILE_TOKENS)).cast("int").alias("tiles"))
-    rows = match_skewed(labelled, sizes, ["entry"], "inner").withColumn("tile", F.pmod(F.xxhash64("rec"), F.col("tiles")).cast("int"))
+    tiles = F.ceil(F.greatest(F.col("k") / TILE, F.col("t") / TILE_TOKENS)).cast("int")
+    rows = undone.filter(F.col("k") > complete).select("entry", "rec", "n", "label", "k", tiles.alias("tiles"))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("rec"), F.col("tiles")).cast("int"))
     if exact:
         place = F.row_number().over(Window.partitionBy("rec").orderBy(F.desc("k"), "entry"))
         rows = rows.withColumn("place", place).filter(F.col("place") <= LARGEST).drop("place")
@@ -358,10 +364,10 @@ def alike_documents(
     records = _records(docs, words, bands)
     shared = _shared(records)
     sets = _sets(docs, records, shared, words, bands)
-    links = _verified(_against_pivots(_labelled(shared, None), F.min, least), sets, least)
+    links = _verified(_against_pivots(shared.withColumn("label", F.col("rec")), least), sets, least)
     # After two pivots, groups of three are complete. Each step reads only what the one before has left open.
     undone = _open(_labelled(shared, links))
-    links = links.union(_verified(_against_pivots(undone, F.max, least), sets, least))
+    links = links.union(_verified(_against_pivots(undone, least), sets, least))
     undone = _open(_labelled(undone.drop("label"), links))
     links = links.union(_against_all(undone, sets, bands, 3, exact=True).toDF("src", "dst"))
     undone = _open(_labelled(undone.drop("label"), links))

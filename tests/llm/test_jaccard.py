@@ -113,3 +113,11 @@ def test_groups_in_one_component_are_not_read_again(spark):
     rows = [(1, 10, 5, 10), (1, 11, 5, 10), (2, 10, 5, 10), (2, 12, 5, 12), (3, 13, 5, 13), (3, 14, 5, 13)]
     undone = jaccard._open(spark.createDataFrame(rows, "entry long, rec long, n long, label long"))
     assert sorted(map(tuple, undone.select("entry", "rec", "n", "label").collect())) == rows[2:4]
+
+
+def test_pivots_and_sizes_of_groups_need_no_join_of_their_own(spark, monkeypatch):
+    keys, match = [], jaccard.match_skewed
+    monkeypatch.setattr(jaccard, "match_skewed", lambda left, right, on, *more: keys.append(on) or match(left, right, on, *more))
+    rows = near_copies(random.Random(3), 2, 40, [60], 14)
+    same(jaccard.alike_documents(spark.createDataFrame(rows, "doc_id long, text string"), words=1, least=90).collect(), brute(rows, 1, 90))
+    assert ["entry"] not in keys
