@@ -30,8 +30,9 @@ from pyspark.sql import types as T
 from millrace.llm.common import fresh, memo, with_small_batches
 
 SPACE = "▁"
-#: Parts that a worker remembers at most; when it is full the memory starts again.
-MEMORY = 600_000
+#: Parts remembered in each of two generations, and pairs of pieces. When the newer is full it becomes the older one, and what
+#: is still in use moves over. A worker holds all of it, and an executor has several.
+MEMORY = 200_000
 NEVER = float("inf")
 
 
@@ -83,8 +84,9 @@ class PieceModel:
         # Characters side by side in some piece; no merge crosses any other place.
         self.inside = {piece[i : i + 2] for piece in self.left for i in range(len(piece) - 1)}
         self.fits: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.atoms: dict[str, bytes] = {}
+        # By text: what begins with a space mark goes without it into the words, all else into the atoms.
+        self.words, self.older_words = {}, {}
+        self.atoms, self.older_atoms = {}, {}
 
     def _last_merge(self, piece: str) -> tuple[str, str] | None:
         """The two parts that the merges inside ``piece`` join last, if they lead to it."""
@@ -112,7 +114,7 @@ class PieceModel:
                     break
             if not known:
                 break
-        if len(self.fits) > 4 * MEMORY:
+        if len(self.fits) >= 2 * MEMORY:
             self.fits.clear()
         self.fits[first << 32 | second] = known
         return known
@@ -147,25 +149,39 @@ class PieceModel:
         return ids
 
     def _part(self, part: str) -> bytes:
-        inside, atoms, start, out = self.inside, self.atoms, 0, []
+        inside, start, out = self.inside, 0, []
         for end in range(1, len(part) + 1):
             if end == len(part) or part[end - 1 : end + 1] not in inside:
-                atom = part[start:end]
-                got = atoms.get(atom)
-                if got is None:
-                    got = array("I", self.encode_part(atom)).tobytes()
-                    if len(atoms) >= MEMORY:
-                        atoms.clear()
-                    atoms[atom] = got
-                out.append(got)
+                out.append(self._atom(part[start:end]))
                 start = end
         return b"".join(out)
 
+    def _atom(self, atom: str) -> bytes:
+        if marked := atom[0] == SPACE:
+            new, older, key = self.words, self.older_words, atom[1:]
+        else:
+            new, older, key = self.atoms, self.older_atoms, atom
+        got = new.get(key)
+        if got is None:
+            got = older.get(key)
+            if got is None:
+                got = array("I", self.encode_part(atom)).tobytes()
+            self._keep(key, got, marked)
+        return got
+
+    def _keep(self, key: str, ids: bytes, marked: bool) -> None:
+        new, older = (self.words, self.older_words) if marked else (self.atoms, self.older_atoms)
+        if len(new) >= MEMORY:
+            older.clear()
+            older.update(new)
+            new.clear()
+        new[key] = ids
+
     def _word(self, word: str) -> bytes:
-        got = self._part(SPACE + word)
-        if len(self.words) >= MEMORY:
-            self.words.clear()
-        self.words[word] = got
+        got = self.older_words.get(word)
+        if got is None:
+            got = self._part(SPACE + word)
+        self._keep(word, got, True)
         return got
 
     def encode(self, text: str) -> bytes:
@@ -192,25 +208,34 @@ class PieceModel:
         raw = b"".join(map(self.bytes.__getitem__, ids))
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
+    def decode_bytes(self, ids: bytes) -> str:
+        """Text of ids as ``encode`` gives them."""
+        return self.decode(np.frombuffer(ids, "<u4").tolist())
+
 
-def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
     """``docs`` with a column of ids, begin and end included, as little-endian unsigned 32-bit integers.
 
-    A column of that name is replaced. The text column must be a string; null counts as empty.
+    ``decoded_col`` names a further column, the text decoded from those ids. The same worker makes both: a task of
+    ``decode`` after ``encode`` needs two, and as Spark hands idle workers to either, each comes to hold an encoder's memory.
+    Columns of these names are replaced. The text column must be a string; null counts as empty.
     """
     with_small_batches(docs.sparkSession)
-    raw, ids = fresh(docs, "raw"), ids_col
+    raw, made = fresh(docs, "raw"), [c for c in (ids_col, decoded_col) if c]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = memo(PieceModel, model_file)
         for batch in batches:
             at = batch.schema.get_field_index(raw)
             got = [model.encode((t or b"").decode("utf-8", "replace")) for t in batch.column(at).to_pylist()]
-            yield _with(batch, at, ids, pa.array(got, pa.binary()))
+            out = _with(batch, at, ids_col, pa.array(got, pa.binary()))
+            if decoded_col:
+                out = out.append_column(decoded_col, pa.array(map(model.decode_bytes, got), pa.string()))
+            yield out
 
-    kept = docs.drop(ids_col)
-    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.BinaryType())])
-    return kept.withColumn(raw, docs[text_col].cast("binary")).mapInArrow(run, schema)
+    new = [T.StructField(ids_col, T.BinaryType()), *([T.StructField(decoded_col, T.StringType())] if decoded_col else [])]
+    schema = T.StructType([*docs.drop(*made).schema.fields, *new])
+    return docs.withColumn(raw, docs[text_col].cast("binary")).drop(*made).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -222,7 +247,7 @@ def decode(encoded: DataFrame, model_file: str, ids_col: str = "ids", text_col:
         model = memo(PieceModel, model_file)
         for batch in batches:
             at = batch.schema.get_field_index(raw)
-            got = [model.decode(np.frombuffer(t or b"", "<u4").tolist()) for t in batch.column(at).to_pylist()]
+            got = [model.decode_bytes(t or b"") for t in batch.column(at).to_pylist()]
             yield _with(batch, at, text_col, pa.array(got, pa.string()))
 
     kept = encoded.drop(text_col)

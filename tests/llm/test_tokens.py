@@ -75,6 +75,29 @@ def test_piece_query(spark, sf_dir, documents, library):
     assert got == want
 
 
+def test_one_worker_encodes_and_decodes(spark, sf_dir, edge):
+    # Idle workers go to either step, so with two steps four workers of an executor of two cores hold an encoder.
+    plan = QUERIES["op6_piece_encoding"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    two = pieces.decode(pieces.encode(edge, PIECES), PIECES).drop("text")
+    one = pieces.encode(edge, PIECES, decoded_col="text")
+    assert sorted(map(repr, one.select("doc_id", "ids", "text").collect())) == sorted(
+        map(repr, two.select("doc_id", "ids", two["decoded"].alias("text")).collect())
+    )
+
+
+def test_memory_of_pieces_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMORY", 20)
+    model, words = pieces.PieceModel(PIECES), [f"{a}{b}" for a in ("on", "Ther", "é,", ".\nSo") for b in range(60)]
+    for k in range(0, 2 * len(words), 7):
+        text = " ".join(words[i % len(words)] for i in range(k, k + 30))
+        assert np.frombuffer(model.encode(text), "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True)
+        held = [model.words, model.older_words, model.atoms, model.older_atoms]
+        assert max(map(len, held)) <= 20 and len(model.fits) <= 40
+    # A word of one part is remembered once.
+    assert not {pieces.SPACE + w for w in model.words} & {*model.atoms, *model.older_atoms}
+
+
 @pytest.fixture(scope="module", params=FILES, ids=["bytes", "words"])
 def words(request):
     return WordTokenizer(request.param)
