@@ -169,6 +169,26 @@ def test_a_part_of_a_batch_is_looked_up_once(file):
     Asked.asked = 0
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_plain_words_go_straight_to_the_model(file):
+    new = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in "lmnrst"]
+    texts = ["a " + " ".join(f"{w} {w.title()}, {w.upper()}." for w in new), "b " + " ".join(new)]
+    # A small letter joins an accent that the large one stands beside.
+    texts += ["a J\u030c H\u0331. xT\u0308\nW\u030a J,\u030c J.\nJ\u030c", "a \xe9t\xe9 \xc9T\xc9. S\u0130X ba\u017f \u212a1 X_Y X\u0345"]
+    words, calls = WordTokenizer(file), []
+
+    class Counted:
+        def encode_batch_fast(self, given, **settings):
+            calls.extend(given)
+            return Tokenizer.from_file(file).encode_batch_fast(given, **settings)
+
+    words.lib = Counted()
+    for _ in range(2):
+        got = [words.ids(x).tolist() for x in words.encode_all(texts)]
+        assert got == [Tokenizer.from_file(file).encode(t, add_special_tokens=False).ids for t in texts]
+    assert not any(w in " ".join(calls[:-1]).lower() for w in new)
+
+
 def ids_of(file, text):
     lib = Tokenizer.from_file(file)
     return np.array([*lib.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
