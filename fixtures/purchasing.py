@@ -50,10 +50,11 @@ def _po_inputs(spark, sf_dir):
         F.col("l_partkey").alias("schedule_line"), F.to_date("l_shipdate").alias("delivery_date"),
         money("l_quantity").alias("scheduled_qty"),
     )
-    groups = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("material_group"))
-    item = _latest_lines(spark, sf_dir).join(groups, "l_partkey", "left").select(
+    # Joined by the padded key, so that the planners of a material find its items where the groups left them.
+    groups = table(spark, sf_dir, "part").select(pad_key("p_partkey").alias("material"), F.col("p_brand").alias("material_group"))
+    item = _latest_lines(spark, sf_dir).withColumn("material", pad_key("l_partkey")).join(groups, "material", "left").select(
         F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("position"),
-        pad_key("l_partkey").alias("material"), "material_group",
+        "material", "material_group",
         F.when(F.col("l_returnflag") == "R", "9").otherwise("0").alias("item_type"),
         F.when(F.col("l_linestatus") == "F", "ST").otherwise("KG").alias("price_unit"),
         money("l_extendedprice").alias("net_price"), money("l_extendedprice").alias("net_value"),

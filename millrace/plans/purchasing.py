@@ -32,6 +32,11 @@ OPEN_END = date(9999, 12, 31)
 FINER = 4
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt by order item to ``FINER`` times the session's shuffle partitions."""
+    return df.repartition(FINER * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "document", "position")
+
+
 def service_numbers(history: DataFrame, entry_sheets: DataFrame, kind: str = "D") -> DataFrame:
     """Service of each order item: history rows of one kind with the non-blank service of their entry sheet.
 
@@ -39,7 +44,7 @@ def service_numbers(history: DataFrame, entry_sheets: DataFrame, kind: str = "D"
     """
     posted = history.filter(F.col("history_type") == kind).select("document", "position", "material_document")
     named = entry_sheets.filter(has_text("service")).select("material_document", "service")
-    return posted.join(named, "material_document").select("document", "position", "service").distinct()
+    return _dealt(posted.join(named, "material_document").select("document", "position", "service")).distinct()
 
 
 def po_indicators(
@@ -63,13 +68,19 @@ def po_indicators(
     Quantities are summed; prices and rates averaged; missing ones are 0, so the local amount of a foreign order's
     piece row is 0 as well. Items of type ``9`` are services and take the service number as material.
 
-    The services, the sums and what follows on the key of an item run in one stage, where a task holds them all at
-    once. So their rows are dealt to ``FINER`` times the session's shuffle partitions.
+    Schedule lines, items and services are dealt by item; their joins, the sums and what follows on the key of an item
+    run in one stage without another shuffle. As a task holds them all at once, they are dealt to ``FINER`` times the
+    session's shuffle partitions. So that whole lines need not travel to the planners, the planners of a material, one
+    for each of its plants, come with its items, and the header's plant picks among them.
     """
-    lines = header.join(schedule.distinct(), "document", "left").join(item, ["document", "position"], "left")
-    parts = FINER * int(header.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lines.join(planning, ["material", "plant"], "left").repartition(parts, "document", "position")
-    planned = dealt.join(services, ["document", "position"], "left")
+    named = [c for c in planning.columns if c not in ("material", "plant")]
+    planners = planning.groupBy("material").agg(F.collect_list(F.struct("plant", F.struct(*named).alias("p"))).alias("_planners"))
+    items = item.join(planners, "material", "left")
+    # Dealt by the key of the join with the headers before repeated lines are sorted out.
+    lines = header.join(schedule.repartition("document").distinct(), "document", "left")
+    joined = _dealt(lines).join(_dealt(items), ["document", "position"], "left").join(_dealt(services), ["document", "position"], "left")
+    here = F.filter("_planners", lambda r: r["plant"] == F.col("plant"))
+    planned = joined.withColumn("_p", F.explode_outer(here)).select("*", "_p.p.*").drop("_planners", "_p")
     is_service = F.col("item_type").eqNullSafe("9")
     facts = planned.withColumns(
         {

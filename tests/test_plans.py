@@ -433,3 +433,52 @@ def test_items_are_dealt_to_more_tasks_than_shuffle_partitions(spark):
     finer = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert [line for line in plan.splitlines() if "hashpartitioning(document" in line and f", {finer})" in line]
     assert views.count() == 50 and views.agg(F.avg("price")).first()[0] == 3.0
+
+
+def _po_tables(spark):
+    header = spark.createDataFrame(
+        [("d1", "P"), ("d1", "Q"), ("d2", None), ("d3", "P"), (None, "P"), ("d4", "P")], "document string, plant string"
+    ).withColumns(
+        {"document_date": F.lit(date(2024, 1, 1)), "supplier": F.lit("s"), "currency": F.lit("USD"), "exchange_rate": F.lit(2.0), "release_state": F.lit("R")}
+    )
+    schedule = spark.createDataFrame(
+        [("d1", 1, 5.0), ("d1", 1, 5.0), ("d1", 2, 6.0), ("d2", 1, 7.0), ("d3", 1, 8.0), (None, 1, 9.0), ("d4", None, 4.0)],
+        "document string, position int, scheduled_qty double",
+    ).withColumns({"schedule_line": F.lit(1), "delivery_date": F.lit(date(2024, 2, 1))})
+    item = spark.createDataFrame(
+        [("d1", 1, "7"), ("d1", 2, "8"), ("d2", 1, "7"), ("d3", 1, None), (None, 1, "7"), ("d4", None, "7")], "document string, position int, material string"
+    ).withColumns(
+        {"item_type": F.when(F.col("position") == 2, "9").otherwise("0"), "price_unit": F.lit("ST"), "net_price": F.lit(3.0), "net_value": F.lit(6.0)}
+    )
+    planning = spark.createDataFrame(
+        [("7", "P", "a"), ("7", "P", "b"), ("7", "Q", "c"), ("7", None, "d"), ("8", "Q", None), (None, "P", "e")], "material string, plant string, planner string"
+    )
+    services = spark.createDataFrame([("d1", 2, "S1"), ("d1", 2, "S2"), ("d9", 1, "S3")], "document string, position int, service string")
+    supplier = spark.createDataFrame([("s", "name")], "supplier string, supplier_name string")
+    return header, schedule, item, planning, services, supplier
+
+
+def test_planners_come_with_the_items_of_a_material(spark):
+    out = po_indicators(*_po_tables(spark)).filter("unit = 'PIECES'")
+    got = sorted(((r["document"], r["plant"], r["position"], r["material"], r["planner"], r["quantity"], r["price"]) for r in out.collect()), key=str)
+    assert got == sorted(
+        [
+            ("d1", "P", 1, "7", "a", 5.0, 3.0), ("d1", "P", 1, "7", "b", 5.0, 3.0), ("d1", "Q", 1, "7", "c", 5.0, 3.0),
+            ("d1", "P", 2, "S1", None, 6.0, 3.0), ("d1", "P", 2, "S2", None, 6.0, 3.0), ("d1", "Q", 2, "S1", None, 6.0, 3.0),
+            ("d1", "Q", 2, "S2", None, 6.0, 3.0), ("d2", None, 1, "7", None, 7.0, 3.0), ("d3", "P", 1, None, None, 8.0, 3.0),
+            (None, "P", None, None, None, 0.0, 0.0), ("d4", "P", None, None, None, 4.0, 0.0),
+        ], key=str,
+    )
+
+
+def test_whole_lines_travel_to_their_items_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = po_indicators(*_po_tables(spark))._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line.split("Exchange ", 1)[1].split(")")[0] for line in plan if "Exchange " in line]
+    # Once to the headers, once to the items (lines, items, services), and never with the lines to the planners.
+    assert sum("(document" in m and "position" not in m for m in moved) == 2
+    assert sum("(document" in m and "position" in m for m in moved) == 3
+    assert sum("(material" in m for m in moved) == 2 and not any("plant" in m for m in moved)
