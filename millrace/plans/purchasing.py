@@ -262,7 +262,10 @@ def order_views(
 
     ``indicators``: the result of ``po_indicators`` with ``material_group`` among its ids. ``catalogue``: material_id,
     plant, material_text. A missing or blank material is a service; services get the id material-group. The pivot has
-    one row per document and position: greatest material, mean price. ``deny`` lists documents to leave out.
+    one row per document and position: greatest material, mean price. ``deny`` lists documents to leave out. Of several
+    texts of a material in a plant the greatest counts.
+
+    The newest row of an item is chosen where its indicators are, and only that row travels to the catalogue.
     """
     stripped = strip_zeros("material")
     blank = ~F.coalesce(has_text("_m"), F.lit(True))
@@ -281,27 +284,29 @@ def order_views(
         {
             "material_id": F.when(is_service, F.concat("material", F.lit("-"), "material_group")).otherwise(F.col("material")),
             "entry_month": period("delivery_date"),
-            "document_month": period("document_date"),
         }
     )
+    document_month = period("document_date").alias("document_month")
     ordered = facts.select(
         "document", "position", "schedule_line", "document_date", "plant", "delivery_date", "quantity", "price",
-        "rate", "unit", "local_amount", "entry_month", "document_month",
+        "rate", "unit", "local_amount", "entry_month", document_month,
     )
     kept = facts if deny is None else facts.join(deny, "document", "left_anti")
     by = [
         "supplier", "document", "document_date", "delivery_date", "position", "price_unit", "currency",
-        "release_state", "plant", "planner", "material_group", "purchase_type", "document_month",
+        "release_state", "plant", "planner", "material_group", "purchase_type",
     ]
     pivoted = kept.groupBy(*by).agg(
         F.max("material").alias("material"), F.max("material_id").alias("material_id"), F.avg("price").alias("price")
     )
-    named = match(pivoted, catalogue.select("material_id", "plant", "material_text").distinct(), ["material_id", "plant"])
     one = latest_by_key(
-        named, ["document", "position", "material", "material_id"],
+        pivoted, ["document", "position", "material", "material_id"],
         ["delivery_date", "price", "document_date", "supplier", "plant", "price_unit", "currency", "release_state", "planner"],
     )
-    return ordered, one.withColumn("supplier", strip_zeros("supplier"))
+    texts = catalogue.groupBy("material_id", "plant").agg(F.max("material_text").alias("material_text"))
+    named = match(one, texts, ["material_id", "plant"])
+    views = named.select(*by, document_month, "material", "material_id", "price", "material_text")
+    return ordered, views.withColumn("supplier", strip_zeros("supplier"))
 
 
 def delivery_plan(

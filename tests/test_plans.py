@@ -482,3 +482,38 @@ def test_whole_lines_travel_to_their_items_once(spark):
     assert sum("(document" in m and "position" not in m for m in moved) == 2
     assert sum("(document" in m and "position" in m for m in moved) == 3
     assert sum("(material" in m for m in moved) == 2 and not any("plant" in m for m in moved)
+
+
+def test_only_the_newest_rows_of_items_travel_to_the_catalogue(spark):
+    indicators = po_indicators(*_po_tables(spark)).withColumn("material_group", F.when(F.col("document") != "d1", "G"))
+    catalogue = spark.createDataFrame(
+        [("7", "P", "x"), ("7", "P", "y"), ("7", "P", None), ("7", "Q", None), (None, "Q", "none"), ("SERVICE", "P", "z")],
+        "material_id string, plant string, material_text string",
+    )
+    deny = spark.createDataFrame([("d4",)], "document string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, views = order_views(indicators, catalogue, deny=deny)
+        plan = views._jdf.queryExecution().executedPlan().toString().splitlines()
+        rows = views.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = sorted(((r["document"], r["position"], r["plant"], r["material"], r["material_id"], r["material_text"], r["document_month"]) for r in rows), key=str)
+    assert got == sorted(
+        [
+            ("d1", 1, "Q", "7", "7", None, "2024-01"), ("d1", 2, "Q", "S2", None, "none", "2024-01"),
+            ("d2", 1, None, "7", "7", None, "2024-01"), ("d3", 1, "P", "SERVICE", "SERVICE", "z", "2024-01"),
+            (None, None, "P", "SERVICE", "SERVICE", "z", "2024-01"),
+        ], key=str,
+    )
+    ranked = min(i for i, line in enumerate(plan) if "Window [row_number()" in line)
+    met = min(i for i, line in enumerate(plan) if "Join [" in line and "material_id" in line)
+    assert met < ranked  # the join is above the ranking
+    assert not any("Exchange hashpartitioning(document" in line and "material" in line for line in plan)
+
+
+def test_of_several_texts_of_a_material_the_greatest_counts(spark):
+    indicators = po_indicators(*_po_tables(spark)).withColumn("material_group", F.lit("G")).filter("document = 'd1' and plant = 'P' and position = 1")
+    catalogue = spark.createDataFrame([("7", "P", t) for t in (None, "a", "c", "b")], "material_id string, plant string, material_text string")
+    _, views = order_views(indicators, catalogue)
+    assert [(r["document"], r["material_text"]) for r in views.collect()] == [("d1", "c")]
