@@ -1,9 +1,10 @@
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import QUERIES
 from millrace.operators.reshape import months_from
 from millrace.plans.imports import imports_cube, imports_silver
 from millrace.plans.inventory import (
@@ -517,3 +518,38 @@ def test_of_several_texts_of_a_material_the_greatest_counts(spark):
     catalogue = spark.createDataFrame([("7", "P", t) for t in (None, "a", "c", "b")], "material_id string, plant string, material_text string")
     _, views = order_views(indicators, catalogue)
     assert [(r["document"], r["material_text"]) for r in views.collect()] == [("d1", "c")]
+
+
+def test_stock_positions_hold_opening_and_closing(spark, tmp_path):
+    rows = [(1, 1, "A", 2.0, 6.0, 1), (2, 1, "R", 3.0, 9.0, 1), (3, 1, "R", 1.0, 4.0, 2), (4, 2, "N", 5.0, 5.0, 1)]
+    lines = spark.createDataFrame(
+        [(k, 1, p, 1, f, "O", q, v, datetime(2024, m, 9)) for k, p, f, q, v, m in rows],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string, l_quantity double, l_extendedprice double, l_shipdate timestamp",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = {}
+    for r in QUERIES["biz_stock_positions"](spark, str(tmp_path)).collect():
+        got.setdefault((r["item"], r["month"].month, r["concept"]), []).append((r["stock"], r["stock_closing"]))
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {
+        (1, 1, "PIECES"): [(2.0, None), (3.0, None), (None, 5.0)], (1, 1, "AMOUNT"): [(27.0, None), (6.0, None), (None, 33.0)],
+        (1, 2, "PIECES"): [(1.0, None), (None, 1.0)], (1, 2, "AMOUNT"): [(4.0, None), (None, 4.0)],
+        (2, 1, "PIECES"): [(5.0, None), (None, 5.0)], (2, 1, "AMOUNT"): [(5.0, None), (None, 5.0)],
+    }
+
+
+def test_prices_of_an_item_come_with_its_stock(spark):
+    jan, feb = date(2024, 1, 1), date(2024, 2, 1)
+    stock = spark.createDataFrame(
+        [(1, jan, "CONSIGNED"), (1, feb, "CONSIGNED"), (1, None, "CONSIGNED"), (1, jan, None), (2, jan, "CONSIGNED"), (None, jan, "CONSIGNED")],
+        "item int, month date, ownership string",
+    ).withColumns({"units": F.lit(2.0), "value": F.lit(6.0)})
+    prices = [(1, jan, 5.0), (1, jan, 7.0), (1, feb, None), (1, None, 4.0), (None, jan, 1.0)]
+    out = unit_costs(stock, spark.createDataFrame(prices, "item int, month date, fiscal_price double"))
+    got = sorted(((r["item"], r["month"], r["ownership"], r["unit_cost"]) for r in out.collect()), key=str)
+    assert got == sorted(
+        [
+            (1, jan, "CONSIGNED", 5.0), (1, jan, "CONSIGNED", 7.0), (1, feb, "CONSIGNED", 4.0), (1, None, "CONSIGNED", 4.0),
+            (1, jan, None, 3.0), (1, jan, None, 3.0), (2, jan, "CONSIGNED", None), (None, jan, "CONSIGNED", None),
+        ], key=str,
+    )
+    assert _plan(out).count("Join ") == 1
